@@ -52,7 +52,7 @@ def sum_by_dimension(
     neither a hot dimension row nor a dimension too large to broadcast makes it heavy.
     Rows whose key is not in the dimension drop out, as in an inner join.
     """
-    small = fact.groupBy(f"`{foreign_key}`", *keys).agg(*[e.alias(n) for n, e in sums.items()])
+    small = fact.groupBy(f"`{foreign_key}`", *keys).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
     named = small.join(
         dimension.withColumnRenamed(dimension_key, foreign_key), on=foreign_key, how="inner"
     )
