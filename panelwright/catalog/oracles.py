@@ -301,7 +301,7 @@ _SHEET_YEARS = [y for y in STAR_YEARS if 2000 <= y + 5 <= 2023]
 _SHEET = f""",
 sheet AS (
   SELECT p_type AS sector, "Sector_ID_Sector", "Country_ID_Country", k."ID_Country", replace(n_name, '_', ' ') AS plain,
-         "Year" + 5 AS yr, "CO2_Emission"::DOUBLE / 1024 AS emission
+         "Year" + 5 AS yr, ("CO2_Emission" * 100)::DOUBLE / 1024 AS emission
   FROM sector_country JOIN nation ON n_nationkey = "Country_ID_Country"
   LEFT JOIN known k ON k."ID_Country" = n_nationkey
   WHERE "Country_ID_Country" <> 7
@@ -339,7 +339,7 @@ UNION ALL
 SELECT source, renewable, TRUE FROM seeds WHERE source NOT IN (SELECT label FROM present)"""),
     "load_sector_country": _with_panel(f"""{_SHEET}
 SELECT "Sector_ID_Sector", "ID_Country" AS "Country_ID_Country", CAST(yr AS INTEGER) AS "Year",
-       round(emission, 2) AS "CO2_Emission"
+       round_even(emission * 100, 0) / 100 AS "CO2_Emission"
 FROM sheet WHERE "ID_Country" IS NOT NULL AND emission IS NOT NULL"""),
     "load_sector_country_gaps": _with_panel(f"""{_SHEET}
 SELECT 'sector' AS kind, {_ACCENTED.format('sector')} AS name FROM sheet WHERE sector = 'SMALL'
@@ -530,7 +530,7 @@ FROM share"""),
 SELECT "GWH"::DOUBLE AS gwh, "PowerImport"::DOUBLE AS power_import, "Renewable_Energy", "Year", "Country_ID"
 FROM power_consumed"""),
     "report_with_preamble": _with_panel(r"""
-SELECT replace(n_name, 'NATION_', 'Nation  ' || chr(9)) AS "Country", CAST("Ano" + 2 AS INTEGER) AS "Year", "Health"
+SELECT replace(n_name, 'NATION_', 'Nation ' || chr(160) || chr(9)) AS "Country", CAST("Ano" + 2 AS INTEGER) AS "Year", "Health"
 FROM development JOIN nation ON "Country_ID" = n_nationkey"""),
     "key_duplicates": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY ALL HAVING count(*) > 1""",

@@ -45,7 +45,7 @@ def _names(panel: StarPanel, key: str) -> DataFrame:
 
 def _messy(plain: Column) -> Column:
     """``NATION 3`` with mixed case, outer blanks, a tab and a no-break space."""
-    return F.concat(F.lit("  "), F.initcap(F.replace(plain, F.lit(" "), F.lit("  \t"))), F.lit(" "))
+    return F.concat(F.lit("  "), F.initcap(F.replace(plain, F.lit(" "), F.lit(" \u00a0\t"))), F.lit(" "))
 
 
 def _comma(value: Column) -> Column:
@@ -61,7 +61,7 @@ def sector_sheet(panel: StarPanel) -> DataFrame:
     """(Sector, EDGAR Country Code, Country) rows with a column per year, five years on."""
     accents = ("AEIOU", "ÀÉÎÕÜ")
     cells = {
-        f" {y + 5}.0": F.max(F.when(F.col("Year") == y, F.col("CO2_Emission").cast("double") / 1024))
+        f" {y + 5}.0": F.max(F.when(F.col("Year") == y, (F.col("CO2_Emission") * 100).cast("double") / 1024))
         for y in STAR_YEARS
     }
     wide = (
