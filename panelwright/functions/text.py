@@ -22,9 +22,13 @@ def casefold_key(name: Column) -> Column:
     Capital sigma is mapped by hand because ``lower`` picks its form by position, and the
     dotless i takes a detour through a private-use character because it must survive.
     """
-    one_blank = F.trim(F.regexp_replace(F.coalesce(name, F.lit("")), _SPACES, " "))
-    prepared = F.translate(one_blank, "ẞı", "ß\ue000")
-    return F.lower(F.translate(F.upper(prepared), "Σ\ue000", "σı"))
+    folded = F.trim(F.regexp_replace(F.coalesce(name, F.lit("")), _SPACES, " "))
+    for old, new in (("ẞ", "ß"), ("ı", "\ue000")):
+        folded = F.replace(folded, F.lit(old), F.lit(new))
+    folded = F.upper(folded)
+    for old, new in (("Σ", "σ"), ("\ue000", "ı")):
+        folded = F.replace(folded, F.lit(old), F.lit(new))
+    return F.lower(folded)
 
 
 def upper_key(name: Column) -> Column:

@@ -24,6 +24,23 @@ NO_HEALTH = [1, 7, 13, 19]
 NO_IMPORTS = [2, 9, 16, 23]
 RENEWABLE = ["BUILDING", "FURNITURE"]
 
+# Declared schemas of the star, so that no read starts a job to infer one.
+STAR_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
 
 def money(column: str) -> Column:
     return F.col(column).cast("decimal(12,2)")
@@ -70,7 +87,7 @@ class StarPanel(Mapping[str, DataFrame]):
         return len(self._builders)
 
     def star(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self.spark.read.schema(STAR_SCHEMAS[table]).parquet(f"{self.folder}/{table}.parquet")
 
     # ------------------------------------------------------------ shared steps
 
