@@ -490,8 +490,8 @@ FROM events""",
 FROM lineitem""",
     "safe_ratio_lines": """WITH sums AS (
   SELECT l_orderkey,
-         sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS DECIMAL(12, 2)) ELSE 0 END)::DOUBLE AS returned,
-         sum(CASE WHEN l_tax > 0 THEN CAST(l_quantity AS DECIMAL(12, 2)) ELSE 0 END)::DOUBLE AS taxed
+         sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END)::BIGINT AS returned,
+         sum(CASE WHEN l_tax > 0 THEN CAST(l_quantity AS BIGINT) ELSE 0 END)::BIGINT AS taxed
   FROM lineitem GROUP BY ALL)
 SELECT *, returned * 8 / nullif(taxed, 0) AS per_taxed FROM sums""",
     "casefold_text": r"""SELECT doc_id, CAST(length(k) AS INTEGER) AS key_length, md5(k) AS key_digest FROM (

@@ -22,7 +22,7 @@ from panelwright.functions import (
     whole_number,
 )
 from panelwright.plans import loads, questions, tidy
-from panelwright.plans.star_panel import StarPanel, money, name_id
+from panelwright.plans.star_panel import StarPanel, cents, from_cents, name_id
 from panelwright.session import shared_folder
 from panelwright.sinks import PanelStore, write_result_csv
 from panelwright.sources import power_source_seed, read_delimited, read_with_preamble, source_labels
@@ -216,8 +216,8 @@ def tidy_emissions(panel: StarPanel) -> DataFrame:
 def unpivot_years(panel: StarPanel) -> DataFrame:
     """Quantities shipped per supplier, a column per year, made long with nulls dropped."""
     years = [str(y) for y in raw.STAR_YEARS]
-    shipped = panel.star("lineitem").select("l_suppkey", F.year("l_shipdate").alias("y"), money("l_quantity").alias("q"))
-    wide = shipped.groupBy("l_suppkey").agg(*[F.sum(F.when(F.col("y") == int(y), F.col("q"))).alias(y) for y in years])
+    shipped = panel.star("lineitem").select("l_suppkey", F.year("l_shipdate").alias("y"), cents("l_quantity").alias("q"))
+    wide = shipped.groupBy("l_suppkey").agg(*[from_cents(F.sum(F.when(F.col("y") == int(y), F.col("q")))).alias(y) for y in years])
     long = ops.unpivot_columns(wide, ["l_suppkey"], years, "Year", "quantity", drop_nulls=True)
     return long.withColumn("Year", F.col("Year").cast("int"))
 
@@ -374,13 +374,13 @@ def rounding_rules(panel: StarPanel) -> DataFrame:
 def safe_ratio_lines(panel: StarPanel) -> DataFrame:
     """Returned share of each order's quantity; null where nothing was charged for tax."""
     lines = panel.star("lineitem")
-    quantity = money("l_quantity")
+    quantity = F.col("l_quantity").cast("bigint")
     sums = lines.groupBy("l_orderkey").agg(
         *ops.conditional_sums(
             quantity, {"returned": F.col("l_returnflag") == "R", "taxed": F.col("l_tax") > 0}
         )
     )
-    return sums.withColumn("per_taxed", ratio(F.col("returned").cast("bigint"), F.col("taxed").cast("bigint"), 8))
+    return sums.withColumn("per_taxed", ratio(F.col("returned"), F.col("taxed"), 8))
 
 
 @_register
@@ -408,7 +408,8 @@ def accent_fold_lookup(panel: StarPanel) -> DataFrame:
     Words are counted first, so a word that fills a third of all text is one row to match.
     """
     counted = _words(panel.star("documents")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    hits = ops.lookup(counted, "word", _benchmark_words(panel), rule="accent_fold", how="inner")
+    words = _benchmark_words(panel)
+    hits = ops.lookup(counted, "word", words, rule="accent_fold", how="inner", names_repeat=False)
     return hits.groupBy("id").agg(F.sum("n").alias("hits"))
 
 
@@ -422,14 +423,14 @@ def unmatched_names(panel: StarPanel) -> DataFrame:
 
 def _customer_figures(panel: StarPanel, *statuses: str) -> DataFrame:
     """Per customer and year: totals over orders of a status; gaps where a priority is absent."""
-    priority, total = F.col("o_orderpriority"), money("o_totalprice")
+    priority, total = F.col("o_orderpriority"), cents("o_totalprice")
     return (
         panel.star("orders")
         .where(F.col("o_orderstatus").isin(*statuses))
         .groupBy("o_custkey", F.year("o_orderdate").alias("Year"))
         .agg(
-            F.sum(F.when(priority == "1-URGENT", total)).alias("urgent"),
-            F.sum(F.when(priority == "2-HIGH", total)).alias("high"),
+            from_cents(F.sum(F.when(priority == "1-URGENT", total))).alias("urgent"),
+            from_cents(F.sum(F.when(priority == "2-HIGH", total))).alias("high"),
         )
     )
 

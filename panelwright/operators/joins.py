@@ -38,6 +38,7 @@ def lookup(
     rule: str = "casefold",
     how: str = "left",
     unique: bool = True,
+    names_repeat: bool = True,
 ) -> DataFrame:
     """Add the id of the dimension row whose name matches under the rule.
 
@@ -45,10 +46,11 @@ def lookup(
     ``unique=False`` a name matching several dimension rows yields a row for each.
 
     Rules that need Python run once per distinct name: names are reduced inside each task
-    first, matched, and the (name, id) pairs joined back on the raw name.
+    first, matched, and the (name, id) pairs joined back on the raw name. Where the rows
+    already hold one name each, ``names_repeat=False`` skips that second pass.
     """
     ids = name_ids(dimension, dimension_name, dimension_id, rule, unique)
-    if rule in _COSTLY:
+    if rule in _COSTLY and names_repeat:
         names = df.select(F.col(f"`{name}`").alias("_name")).distinct()
         pairs = (
             names.withColumn(_KEY, KEY_RULES[rule](F.col("_name")))

@@ -7,6 +7,7 @@ Nations are countries, part types are sectors, market segments are power sources
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,12 +43,13 @@ STAR_SCHEMAS = {
 }
 
 
-def money(column: str) -> Column:
-    return F.col(column).cast("decimal(12,2)")
+def cents(column: str) -> Column:
+    """An amount with two decimals in whole cents: exact to sum, and cheap, as long integers."""
+    return F.rint(F.col(column) * 100).cast("bigint")
 
 
-def _wide(amount: Column) -> Column:
-    return amount.cast("decimal(20,2)")
+def from_cents(amount: Column) -> Column:
+    return (amount.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(20,2)")
 
 
 def name_id(name: Column) -> Column:
@@ -102,7 +104,7 @@ class StarPanel(Mapping[str, DataFrame]):
         Lines collapse to one row per order, already partitioned for the join with orders,
         and those to one row per customer and year before they meet the customers.
         """
-        quantity, amount = money("l_quantity"), money("l_extendedprice")
+        quantity, amount = cents("l_quantity"), cents("l_extendedprice")
         per_order = (
             self.star("lineitem")
             .groupBy("l_orderkey")
@@ -119,10 +121,19 @@ class StarPanel(Mapping[str, DataFrame]):
             .agg(*[F.sum(c).alias(c) for c in ("quantity", "returned", "open_quantity")])
         )
 
+    @cached_property
+    def _sold(self) -> DataFrame:
+        """(nation, segment, Year) sums of line figures."""
+        return (
+            self._order_lines.join(self._customers("c_nationkey", "c_mktsegment"), "o_custkey")
+            .groupBy("c_nationkey", "c_mktsegment", "Year")
+            .agg(*[F.sum(c).alias(c) for c in ("quantity", "returned", "open_quantity")])
+        )
+
     @cached_property
     def _customer_years(self) -> DataFrame:
         """(nation, Year) sums over orders, cut to one row per customer and year first."""
-        total, priority, status = money("o_totalprice"), F.col("o_orderpriority"), F.col("o_orderstatus")
+        total, priority, status = cents("o_totalprice"), F.col("o_orderpriority"), F.col("o_orderstatus")
         per_customer = self._orders.groupBy("o_custkey", "Year").agg(
             F.sum(total).alias("total"),
             F.sum(F.when(priority == "1-URGENT", total)).alias("urgent"),
@@ -162,7 +173,7 @@ class StarPanel(Mapping[str, DataFrame]):
 
     def _sector_country(self) -> DataFrame:
         lines = self.star("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", money("l_extendedprice").alias("amount")
+            "l_orderkey", "l_partkey", "l_suppkey", cents("l_extendedprice").alias("amount")
         )
         dated = self._orders.select(F.col("o_orderkey").alias("l_orderkey"), "Year")
         typed = self.star("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
@@ -174,41 +185,35 @@ class StarPanel(Mapping[str, DataFrame]):
         )
         suppliers = self.star("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
         reported = ~((F.col("p_type") == "PROMO") & F.col("s_nationkey").isin(NO_PROMO))
-        return (
+        sums = (
             per_supplier.join(suppliers, "l_suppkey")
             .where(reported)
             .groupBy("s_nationkey", "p_type", "Year")
             .agg(F.sum("amount").alias("amount"))
-            .select(
-                name_id(F.col("p_type")).alias("Sector_ID_Sector"),
-                F.col("s_nationkey").alias("Country_ID_Country"),
-                _wide(F.col("amount")).alias("CO2_Emission"),
-                "Year",
-            )
+        )
+        return sums.select(
+            name_id(F.col("p_type")).alias("Sector_ID_Sector"),
+            F.col("s_nationkey").alias("Country_ID_Country"),
+            from_cents(F.col("amount")).alias("CO2_Emission"),
+            "Year",
         )
 
     def _power_source_country(self) -> DataFrame:
-        return (
-            self._order_lines.join(self._customers("c_nationkey", "c_mktsegment"), "o_custkey")
-            .groupBy("c_nationkey", "c_mktsegment", "Year")
-            .agg(F.sum("returned").alias("returned"), F.sum("quantity").alias("quantity"))
-            .select(
-                name_id(F.col("c_mktsegment")).alias("Power Source_ID_Power"),
-                F.col("c_nationkey").alias("Country_ID_Country"),
-                "Year",
-                _wide(F.col("returned")).alias("CO2_Emission"),
-                _wide(F.col("quantity")).alias("Power_Generation"),
-            )
+        return self._sold.select(
+            name_id(F.col("c_mktsegment")).alias("Power Source_ID_Power"),
+            F.col("c_nationkey").alias("Country_ID_Country"),
+            "Year",
+            from_cents(F.col("returned")).alias("CO2_Emission"),
+            from_cents(F.col("quantity")).alias("Power_Generation"),
         )
 
     def _environmental(self) -> DataFrame:
-        total = F.sum("CO2_Emission")
         return (
             self["Sector_Country"]
             .groupBy(F.col("Country_ID_Country").alias("Country_ID"), "Year")
-            .agg(total.alias("total"))
+            .agg(F.sum("CO2_Emission").cast("decimal(20,2)").alias("total"))
             .select(
-                F.when(~F.col("Country_ID").isin(NO_TOTAL), _wide(F.col("total"))).alias("CO2_Emision"),
+                F.when(~F.col("Country_ID").isin(NO_TOTAL), F.col("total")).alias("CO2_Emision"),
                 "Year",
                 "Country_ID",
             )
@@ -217,9 +222,9 @@ class StarPanel(Mapping[str, DataFrame]):
     def _investment(self) -> DataFrame:
         reports = ~F.col("Country_ID").isin(NO_ENERGY_INVESTMENT)
         return self._customer_years.select(
-            _wide(F.col("total")).alias("GDP"),
-            F.when(reports, _wide(F.col("urgent"))).alias("Investment_Energy"),
-            _wide(F.col("high")).alias("Health_Expenditure"),
+            from_cents(F.col("total")).alias("GDP"),
+            F.when(reports, from_cents(F.col("urgent"))).alias("Investment_Energy"),
+            from_cents(F.col("high")).alias("Health_Expenditure"),
             "Year",
             "Country_ID",
         )
@@ -237,17 +242,16 @@ class StarPanel(Mapping[str, DataFrame]):
         renewable = F.when(F.col("c_mktsegment").isin(RENEWABLE), F.col("quantity"))
         reports = ~F.col("Country_ID").isin(NO_IMPORTS)
         return (
-            self._order_lines.join(self._customers("c_nationkey", "c_mktsegment"), "o_custkey")
-            .groupBy(F.col("c_nationkey").alias("Country_ID"), "Year")
+            self._sold.groupBy(F.col("c_nationkey").alias("Country_ID"), "Year")
             .agg(
                 F.sum("quantity").alias("quantity"),
                 F.sum("open_quantity").alias("imports"),
                 F.sum(renewable).alias("renewable"),
             )
             .select(
-                _wide(F.col("quantity")).alias("GWH"),
-                F.when(reports, _wide(F.col("imports"))).alias("PowerImport"),
-                ratio(_wide(F.col("renewable")), _wide(F.col("quantity")), 100, 4).alias("Renewable_Energy"),
+                from_cents(F.col("quantity")).alias("GWH"),
+                F.when(reports, from_cents(F.col("imports"))).alias("PowerImport"),
+                ratio(from_cents(F.col("renewable")), from_cents(F.col("quantity")), 100, 4).alias("Renewable_Energy"),
                 "Year",
                 "Country_ID",
             )
