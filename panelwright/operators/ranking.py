@@ -34,7 +34,7 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | st
     """
     named = {c for c in order if isinstance(c, str)}
     rest = [c for c in df.columns if c not in {*key, *named}]
-    return top_per_group(df, key, [*order, *rest])
+    return top_per_group(df, key, [*order, *rest] or key)
 
 
 def sort_desc(df: DataFrame, *columns: Column | str, ties: Sequence[Column | str] = ()) -> DataFrame:

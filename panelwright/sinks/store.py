@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelwright.operators.keys import dense_keys
 from panelwright.operators.merge import insert_ignore, merge_rows
 from panelwright.schema import TABLES, TableSpec
+from panelwright.session import shared_folder
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -42,7 +43,11 @@ class PanelStore:
         """Create the tables that do not exist yet."""
         for table in tables or TABLES:
             spec = TABLES[table]
-            self._write(spec, self.spark.createDataFrame([], spec.columns), "ignore")
+            empty = [F.lit(None).cast(c.dataType).alias(c.name) for c in spec.columns]
+            writer = self.spark.range(0).select(*empty).write.mode("ignore")
+            if spec.partition:
+                writer = writer.partitionBy(spec.partition)
+            writer.parquet(self.path(table))
 
     def read(self, table: str) -> DataFrame:
         spec = TABLES[table]
@@ -63,22 +68,25 @@ class PanelStore:
     def upsert(self, table: str, rows: DataFrame, mode: str = "keep_old") -> None:
         """Merge rows (one per key) into a fact, rewriting only the years they touch.
 
-        Old and new rows of those years meet in one full outer join on the key; years
-        without an incoming row are neither read beyond partition pruning nor written.
+        The incoming rows are written once to the shared folder, split by year, so the plan
+        that produces them runs once. Old and new rows of the touched years then meet in
+        one full outer join on the key; other years are neither read nor written. As with
+        a database sequence, a row that only updates uses up its provisional number.
         """
         spec = TABLES[table]
-        key, year = list(spec.key), spec.partition
-        present = self.read(table)
-        incoming = conform(rows, table)
-        if spec.surrogate:
-            known = present.select(*key)
-            incoming = self._numbered(table, incoming.join(known, key, "left_anti")).unionByName(
-                incoming.join(known, key, "left_semi"), allowMissingColumns=True
-            )
-        touched = present.join(incoming.select(year).distinct(), year, "left_semi")
-        merged = merge_rows(touched, incoming, key, mode, keep=(spec.surrogate,))
+        incoming = self._staged(spec, self._numbered(table, conform(rows, table)))
+        # The years of the batch are its partition folders: a short list, read from metadata,
+        # that as a literal filter prunes the table before its files are listed for reading.
+        years = [y for (y,) in incoming.select(spec.partition).distinct().collect()]
+        touched = self.read(table).where(F.col(spec.partition).isin(years))
+        merged = merge_rows(touched, incoming, spec.key, mode, keep=(spec.surrogate,))
         self._write(spec, merged, "overwrite")
 
+    def _staged(self, spec: TableSpec, rows: DataFrame) -> DataFrame:
+        path = shared_folder(self.spark)
+        rows.write.partitionBy(spec.partition).parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def _numbered(self, table: str, rows: DataFrame) -> DataFrame:
         """Give rows without one a surrogate key above the largest in use."""
         spec = TABLES[table]
