@@ -25,7 +25,13 @@ from panelwright.plans import loads, questions, tidy
 from panelwright.plans.star_panel import StarPanel, cents, from_cents, name_id
 from panelwright.session import shared_folder
 from panelwright.sinks import PanelStore, write_result_csv
-from panelwright.sources import power_source_seed, read_delimited, read_with_preamble, source_labels
+from panelwright.sources import (
+    literal_rows,
+    power_source_seed,
+    read_delimited,
+    read_with_preamble,
+    source_labels,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,7 +136,7 @@ def load_sector(panel: StarPanel) -> DataFrame:
 @_register
 def load_power_source(panel: StarPanel) -> DataFrame:
     """Seed rows ignored where a segment already carries the name."""
-    labels = panel.spark.createDataFrame(raw.SEGMENT_LABELS, "c_mktsegment string, Name string")
+    labels = literal_rows(panel.spark, raw.SEGMENT_LABELS, "c_mktsegment, Name")
     present = panel.star("customer").select("c_mktsegment").distinct().join(labels, "c_mktsegment")
     present = present.select("Name", F.lit(None).cast("boolean").alias("Renewable"))
     added = ops.insert_ignore(present, power_source_seed(panel.spark), ["Name"])
@@ -273,7 +279,7 @@ def dedup_rows(panel: StarPanel) -> DataFrame:
 @_register
 def seed_recode(panel: StarPanel) -> DataFrame:
     """Customers per source name: segments recoded to labels, labels to dimension names."""
-    labels = panel.spark.createDataFrame(raw.SEGMENT_LABELS, "segment string, label string")
+    labels = literal_rows(panel.spark, raw.SEGMENT_LABELS, "segment, label")
     names = labels.join(source_labels(panel.spark).withColumnRenamed("name", "source"), "label")
     seeds = names.join(power_source_seed(panel.spark).withColumnRenamed("Name", "source"), "source")
     counted = panel.star("customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"))
@@ -521,7 +527,7 @@ def _write_report(panel: StarPanel, path: str) -> None:
     notes = ["Footnotes,,,,", '"a. Not all indicators, in all places.",,,,', ",,,,"]
 
     def text(values: list[str]) -> DataFrame:
-        return panel.spark.createDataFrame([(v,) for v in values], "value string")
+        return literal_rows(panel.spark, [(v,) for v in values], "value")
 
     def quoted(c: Column) -> Column:
         return F.concat(F.lit('"'), c, F.lit('"'))

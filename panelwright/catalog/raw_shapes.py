@@ -13,6 +13,7 @@ from panelwright.operators.reshape import unpivot_columns
 from panelwright.plans.star_panel import StarPanel
 from panelwright.plans.tidy import EMISSIONS, GENERATION
 from panelwright.sources.files import clean_headers
+from panelwright.sources.seeds import literal_rows
 
 SEQ = ("seq",)
 
@@ -89,7 +90,7 @@ def energy_release(panel: StarPanel) -> DataFrame:
 
     The second copy of a row repeats the emission, changed, and has no usable generation.
     """
-    labels = panel.spark.createDataFrame(SEGMENT_LABELS, "Name string, Variable string")
+    labels = literal_rows(panel.spark, SEGMENT_LABELS, "Name, Variable")
     named = (
         panel["Power Source_Country"]
         .join(panel["Power Source"].withColumnRenamed("ID_Power", "Power Source_ID_Power"), "Power Source_ID_Power")

@@ -18,14 +18,16 @@ KEY_RULES: dict[str, Callable[[Column], Column]] = {
 _COSTLY = {"accent_fold"}
 
 _KEY = "_name_key"
+_DIM_KEY = "_dimension_key"
 _ID = "_name_id"
 
 
 def name_ids(dimension: DataFrame, name: str, id: str, rule: str, unique: bool = True) -> DataFrame:
     """(key, id) of a dimension. ``unique`` keeps the largest id where names share a key,
     which is the row a dictionary built in id order ends up with."""
-    keyed = dimension.select(KEY_RULES[rule](F.col(name)).alias(_KEY), F.col(id).alias(_ID))
-    return keyed.groupBy(_KEY).agg(F.max(_ID).alias(_ID)) if unique else keyed
+    keyed = dimension.select(KEY_RULES[rule](F.col(name)).alias(_DIM_KEY), F.col(id).alias(_ID))
+    keyed = keyed.where(F.col(_DIM_KEY).isNotNull())
+    return keyed.groupBy(_DIM_KEY).agg(F.max(_ID).alias(_ID)) if unique else keyed
 
 
 def lookup(
@@ -52,18 +54,24 @@ def lookup(
     ids = name_ids(dimension, dimension_name, dimension_id, rule, unique)
     if rule in _COSTLY and names_repeat:
         names = df.select(F.col(f"`{name}`").alias("_name")).distinct()
-        pairs = (
-            names.withColumn(_KEY, KEY_RULES[rule](F.col("_name")))
-            .join(ids, on=_KEY, how="inner")
-            .select("_name", _ID)
-        )
+        keyed = names.withColumn(_KEY, KEY_RULES[rule](F.col("_name")))
+        pairs = _match(keyed, ids, "inner").select("_name", _ID)
         matched = df.join(pairs, df[f"`{name}`"].eqNullSafe(pairs["_name"]), how).drop("_name")
     else:
-        keyed = df.withColumn(_KEY, KEY_RULES[rule](F.col(f"`{name}`")))
-        matched = keyed.join(ids, on=_KEY, how=how).drop(_KEY)
+        matched = _match(df.withColumn(_KEY, KEY_RULES[rule](F.col(f"`{name}`"))), ids, how)
     return matched.withColumnRenamed(_ID, out)
 
 
+def _match(keyed: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Join on the key, which is never null in ``ids``.
+
+    The null-safe form keeps the join from reusing the partitioning that made ``ids``
+    unique: both sides get an exchange of their own, the shape in which a hot name can be
+    split at run time where the dimension is too large to broadcast.
+    """
+    return keyed.join(ids, keyed[_KEY].eqNullSafe(ids[_DIM_KEY]), how).drop(_KEY, _DIM_KEY)
+
+
 def unmatched_names(
     df: DataFrame, name: str, dimension: DataFrame, dimension_name: str = "Name", rule: str = "accent_fold"
 ) -> DataFrame:

@@ -7,7 +7,13 @@ from panelwright.sources.files import (
     read_with_preamble,
     year_columns,
 )
-from panelwright.sources.seeds import POWER_SOURCES, SOURCE_LABELS, power_source_seed, source_labels
+from panelwright.sources.seeds import (
+    POWER_SOURCES,
+    SOURCE_LABELS,
+    literal_rows,
+    power_source_seed,
+    source_labels,
+)
 from panelwright.sources.views import as_views, pick
 
 __all__ = [
@@ -17,6 +23,7 @@ __all__ = [
     "as_views",
     "clean_headers",
     "keep_existing",
+    "literal_rows",
     "pick",
     "power_source_seed",
     "read_delimited",

@@ -31,9 +31,19 @@ SOURCE_LABELS = [
 ]
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """Fixed rows as a VALUES relation: its size is known, so joins can rely on it."""
+
+    def cell(value: object) -> str:
+        return repr(value) if isinstance(value, str) else str(value).upper()
+
+    cells = ", ".join("(" + ", ".join(cell(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {cells} AS t({columns})")
+
+
 def power_source_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(POWER_SOURCES, "Name string, Renewable boolean")
+    return literal_rows(spark, POWER_SOURCES, "Name, Renewable")
 
 
 def source_labels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SOURCE_LABELS, "label string, name string")
+    return literal_rows(spark, SOURCE_LABELS, "label, name")
