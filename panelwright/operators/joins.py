@@ -41,6 +41,7 @@ def lookup(
     how: str = "left",
     unique: bool = True,
     names_repeat: bool = True,
+    names_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add the id of the dimension row whose name matches under the rule.
 
@@ -49,11 +50,13 @@ def lookup(
 
     Rules that need Python run once per distinct name: names are reduced inside each task
     first, matched, and the (name, id) pairs joined back on the raw name. Where the rows
-    already hold one name each, ``names_repeat=False`` skips that second pass.
+    already hold one name each, ``names_repeat=False`` skips that second pass. Where ``df``
+    is itself the result of joins, ``names_from`` names the plain rows to take names from.
     """
     ids = name_ids(dimension, dimension_name, dimension_id, rule, unique)
     if rule in _COSTLY and names_repeat:
-        names = df.select(F.col(f"`{name}`").alias("_name")).distinct()
+        source = df if names_from is None else names_from
+        names = source.select(F.col(f"`{name}`").alias("_name")).distinct()
         keyed = names.withColumn(_KEY, KEY_RULES[rule](F.col("_name")))
         pairs = _match(keyed, ids, "inner").select("_name", _ID)
         matched = df.join(pairs, df[f"`{name}`"].eqNullSafe(pairs["_name"]), how).drop("_name")

@@ -65,11 +65,18 @@ def sector_emissions(sheet: DataFrame, country: DataFrame, sector: DataFrame) ->
     Names are matched on the wide rows, before they multiply by the number of years.
     """
     years = year_columns(sheet)
+    rows = _without_totals(sheet)
+    matched = lookup(rows, "Sector", sector, "Name", "ID_Sector", "Sector_ID_Sector", "accent_fold", "inner")
     matched = lookup(
-        _without_totals(sheet), "Sector", sector, "Name", "ID_Sector", "Sector_ID_Sector", "accent_fold", "inner"
-    )
-    matched = lookup(
-        matched, "Country", country, "Name", "ID_Country", "Country_ID_Country", "accent_fold", "inner"
+        matched,
+        "Country",
+        country,
+        "Name",
+        "ID_Country",
+        "Country_ID_Country",
+        "accent_fold",
+        "inner",
+        names_from=rows,
     )
     typed = matched.select(
         "Sector_ID_Sector", "Country_ID_Country", *[F.col(f"`{y}`").cast("double").alias(y) for y in years]
