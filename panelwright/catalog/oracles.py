@@ -488,6 +488,8 @@ FROM events""",
        floor(l_quantity / 8 * 100 + 0.5) / 100 AS half_away,
        CAST(trunc(l_quantity / 8) AS BIGINT) AS truncated
 FROM lineitem""",
+    "nan_as_null": """SELECT l_orderkey, sum(CASE WHEN l_returnflag <> 'R' THEN l_quantity END) AS quantity
+FROM lineitem GROUP BY ALL""",
     "safe_ratio_lines": """WITH sums AS (
   SELECT l_orderkey,
          sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END)::BIGINT AS returned,
@@ -529,6 +531,10 @@ FROM share"""),
     "csv_round_trip": _with_panel("""
 SELECT "GWH"::DOUBLE AS gwh, "PowerImport"::DOUBLE AS power_import, "Renewable_Energy", "Year", "Country_ID"
 FROM power_consumed"""),
+    "sheet_round_trip": _with_panel(f"""
+SELECT {_ACCENTED.format('p_type')} AS "Sector", {_ACCENTED.format("replace(n_name, '_', ' ')")} AS "Country",
+       CAST("Year" + 5 AS VARCHAR) AS "Year", ("CO2_Emission" * 100)::DOUBLE / 1024 AS emission
+FROM sector_country JOIN nation ON n_nationkey = "Country_ID_Country" WHERE "Year" + 5 BETWEEN 2001 AND 2005"""),
     "report_with_preamble": _with_panel(r"""
 SELECT replace(n_name, 'NATION_', 'Nation ' || chr(160) || chr(9)) AS "Country", CAST("Ano" + 2 AS INTEGER) AS "Year", "Health"
 FROM development JOIN nation ON "Country_ID" = n_nationkey"""),

@@ -13,6 +13,7 @@ from panelwright.catalog import raw_shapes as raw
 from panelwright.functions import (
     casefold_key,
     extract_year,
+    null_if_nan,
     parse_number,
     ratio,
     round_scaled,
@@ -29,8 +30,10 @@ from panelwright.sources import (
     literal_rows,
     power_source_seed,
     read_delimited,
+    read_sheet_export,
     read_with_preamble,
     source_labels,
+    year_columns,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -376,6 +379,13 @@ def rounding_rules(panel: StarPanel) -> DataFrame:
     )
 
 
+@_register
+def nan_as_null(panel: StarPanel) -> DataFrame:
+    """Quantities of returned lines arrive as NaN; sums skip them."""
+    arrived = F.when(F.col("l_returnflag") == "R", F.lit(float("nan"))).otherwise(F.col("l_quantity"))
+    return panel.star("lineitem").groupBy("l_orderkey").agg(F.sum(null_if_nan(arrived)).alias("quantity"))
+
+
 @_register
 def safe_ratio_lines(panel: StarPanel) -> DataFrame:
     """Returned share of each order's quantity; null where nothing was charged for tax."""
@@ -507,6 +517,18 @@ def csv_round_trip(panel: StarPanel) -> DataFrame:
     return rows.dropna(how="all")
 
 
+@_register
+def sheet_round_trip(panel: StarPanel) -> DataFrame:
+    """A wide sheet exported to CSV, its headers cleaned and its year columns found on reading."""
+    path = shared_folder(panel.spark)
+    write_result_csv(raw.sector_sheet(panel).withColumnsRenamed({"Sector": " Sector ", "2003": "2003.0"}), path)
+    sheet = read_sheet_export(panel.spark, path)
+    years = year_columns(sheet, 2001, 2005)
+    return ops.unpivot_columns(sheet, ["Sector", "Country"], years, "Year", "emission", drop_nulls=True).select(
+        F.trim("Sector").alias("Sector"), F.trim("Country").alias("Country"), "Year", to_double(F.col("emission")).alias("emission")
+    )
+
+
 @_register
 def report_with_preamble(panel: StarPanel) -> DataFrame:
     """A report with title lines, blank headers and footnotes, parsed by position."""
