@@ -373,6 +373,24 @@ FROM power_consumed JOIN known ON "ID_Country" = "Country_ID" WHERE "Year" + 2 >
     "load_demography": _with_panel("""
 SELECT "Country_ID", CAST("Year" + 2 AS INTEGER) AS "Year", "Population"
 FROM demography JOIN known ON "ID_Country" = "Country_ID" WHERE "Year" + 2 >= 2000"""),
+    "load_everything": _with_panel("""
+SELECT 'Country' AS table_name, count(*) AS n_rows, count(*) AS n_countries FROM known
+UNION ALL SELECT 'Sector', count(*), 0 FROM sector
+UNION ALL SELECT 'Power Source', count(*), 0 FROM seeds
+UNION ALL SELECT 'Sector_Country', count(*), count(DISTINCT "Country_ID_Country")
+  FROM sector_country JOIN known ON "ID_Country" = "Country_ID_Country" WHERE "Country_ID_Country" <> 7
+UNION ALL SELECT 'Power Source_Country', count(*), count(DISTINCT "Country_ID_Country")
+  FROM power_source_country JOIN known ON "ID_Country" = "Country_ID_Country"
+UNION ALL SELECT 'Environmental Indicator', count(*), count(DISTINCT "Country_ID")
+  FROM environmental JOIN known ON "ID_Country" = "Country_ID" WHERE "Year" + 2 >= 2000
+UNION ALL SELECT 'Investment', count(*), count(DISTINCT "Country_ID")
+  FROM investment_base JOIN known ON "ID_Country" = "Country_ID"
+UNION ALL SELECT 'Development', count(*), count(DISTINCT "Country_ID")
+  FROM development JOIN known ON "ID_Country" = "Country_ID" WHERE "Ano" + 2 >= 2000
+UNION ALL SELECT 'Power Consumed', count(*), count(DISTINCT "Country_ID")
+  FROM power_consumed JOIN known ON "ID_Country" = "Country_ID" WHERE "Year" + 2 >= 2000
+UNION ALL SELECT 'Demography', count(*), count(DISTINCT "Country_ID")
+  FROM demography JOIN known ON "ID_Country" = "Country_ID" WHERE "Year" + 2 >= 2000"""),
     "tidy_energy_long": _with_panel(f"""{_ENERGY}
 SELECT area AS "Area", yr AS "Year", 'Electricity generation' AS "Category", label AS "Variable", generation AS "Value"
 FROM energy

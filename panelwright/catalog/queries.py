@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,6 +198,38 @@ def load_demography(panel: StarPanel) -> DataFrame:
     return loads.demography(raw.development_index(panel), raw.known_countries(panel), raw.SEQ)
 
 
+@_register
+def load_everything(panel: StarPanel) -> DataFrame:
+    """The whole ordered load into fresh tables; rows and countries per table."""
+    scaled = raw.LogPanel(panel.spark, panel.folder)
+    store = PanelStore(panel.spark, shared_folder(panel.spark))
+    inputs = loads.RawInputs(
+        country_list=raw.known_countries(panel).withColumnRenamed("Name", "Table Name"),
+        sector_sheet=raw.sector_sheet(scaled),
+        energy=raw.energy_release(scaled),
+        emissions=raw.emission_rows(scaled),
+        development_index=raw.development_index(scaled),
+        poverty_1=raw.poverty_1(scaled),
+        poverty_2=raw.poverty_2(scaled),
+        investment=raw.investment_rows(scaled),
+        consumption=raw.consumption_rows(scaled),
+        order=raw.SEQ,
+    )
+    loads.load_all(panel.spark, inputs, store)
+    return _table_sizes(store)
+
+
+def _table_sizes(store: PanelStore) -> DataFrame:
+    def size(table: str, df: DataFrame) -> DataFrame:
+        country = next((c for c in ("Country_ID", "Country_ID_Country", "ID_Country") if c in df.columns), None)
+        countries = F.count_distinct(F.col(country)) if country else F.lit(0).cast("bigint")
+        return df.agg(F.count(F.lit(1)).alias("n_rows"), countries.alias("n_countries")).select(
+            F.lit(table).alias("table_name"), "n_rows", "n_countries"
+        )
+
+    return reduce(DataFrame.union, [size(t, df) for t, df in store.panel().items()])
+
+
 # --------------------------------------------------------------- tidy releases
 
 

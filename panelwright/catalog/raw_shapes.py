@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from panelwright.operators.reshape import unpivot_columns
 from panelwright.plans.star_panel import StarPanel
@@ -29,6 +30,16 @@ SEGMENT_LABELS = [
 CAPACITY = "Capacity"
 
 
+class LogPanel(StarPanel):
+    """The star panel with every measure on a log scale, so that it fits the declared types
+    however large the star is."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = super().__getitem__(name)
+        sums = [f.name for f in df.schema if isinstance(f.dataType, DecimalType) and f.name != "Renewable_Energy"]
+        return df.withColumns({c: F.log10(F.col(c) + 1).cast("decimal(20,4)") for c in sums})
+
+
 def known_countries(panel: StarPanel) -> DataFrame:
     """Country dimension without the nations of region 0, so some names stay unmatched."""
     return panel.star("nation").where(F.col("n_regionkey") != 0).select(

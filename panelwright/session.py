@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -29,13 +30,15 @@ def build_session(app: str = "panelwright", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="panelwright-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh path under the cluster's shared folder (``spark.checkpoint.dir``).
 
     Only where the setting is missing, as in a bare local test, is a local folder used.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="panelwright-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
     return f"{base.rstrip('/')}/panelwright-{uuid.uuid4().hex}"

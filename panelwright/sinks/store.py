@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.operators.keys import dense_keys
@@ -58,12 +58,16 @@ class PanelStore:
         return {table: self.read(table) for table in TABLES}
 
     def append(self, table: str, rows: DataFrame) -> None:
-        self._write(TABLES[table], self._numbered(table, conform(rows, table)), "append")
+        ready = conform(rows, table)
+        if TABLES[table].surrogate:
+            ready = self._numbered(table, self._staged(TABLES[table], ready))
+        self._write(TABLES[table], ready, "append")
 
     def insert_ignore(self, table: str, rows: DataFrame) -> None:
         """Append the rows whose natural key is not there yet."""
         new = insert_ignore(self.read(table), conform(rows, table), TABLES[table].key)
-        self._write(TABLES[table], self._numbered(table, new), "append")
+        staged = self._staged(TABLES[table], new)
+        self._write(TABLES[table], self._numbered(table, staged), "append")
 
     def upsert(self, table: str, rows: DataFrame, mode: str = "keep_old") -> None:
         """Merge rows (one per key) into a fact, rewriting only the years they touch.
@@ -74,17 +78,20 @@ class PanelStore:
         a database sequence, a row that only updates uses up its provisional number.
         """
         spec = TABLES[table]
-        incoming = self._staged(spec, self._numbered(table, conform(rows, table)))
+        incoming = self._staged(spec, conform(rows, table))
         # The years of the batch are its partition folders: a short list, read from metadata,
         # that as a literal filter prunes the table before its files are listed for reading.
         years = [y for (y,) in incoming.select(spec.partition).distinct().collect()]
         touched = self.read(table).where(F.col(spec.partition).isin(years))
-        merged = merge_rows(touched, incoming, spec.key, mode, keep=(spec.surrogate,))
+        numbered = self._numbered(table, incoming)
+        merged = merge_rows(touched, numbered, spec.key, mode, keep=(spec.surrogate,))
         self._write(spec, merged, "overwrite")
 
     def _staged(self, spec: TableSpec, rows: DataFrame) -> DataFrame:
+        """The rows written once to the shared folder: numbering and merging read them more
+        than once, and what produced them should not run again."""
         path = shared_folder(self.spark)
-        rows.write.partitionBy(spec.partition).parquet(path)
+        _writer(rows, spec).parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def _numbered(self, table: str, rows: DataFrame) -> DataFrame:
@@ -102,15 +109,13 @@ class PanelStore:
                 for c in spec.columns
             ]
         )
-        if not spec.partition:
-            full.write.mode(mode).parquet(self.path(spec.name))
-            return
-        # Rebalancing gathers a year's rows into few files, yet splits a year too large
-        # for one task.
-        (
-            full.hint("rebalance", spec.partition)
-            .write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(spec.partition)
-            .parquet(self.path(spec.name))
-        )
+        writer = _writer(full, spec).mode(mode).option("partitionOverwriteMode", "dynamic")
+        writer.parquet(self.path(spec.name))
+
+
+def _writer(rows: DataFrame, spec: TableSpec) -> DataFrameWriter:
+    """Facts go into year folders. Rebalancing gathers a year's rows into few files, yet
+    splits a year too large for one task."""
+    if not spec.partition:
+        return rows.write
+    return rows.hint("rebalance", spec.partition).write.partitionBy(spec.partition)
