@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def text_key() -> Column:
 
 def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows that hold about ``limit`` bytes of text, whole rows always."""
-    sizes = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
     start, held = 0, 0
     for i, n in enumerate(sizes):
         if held and held + n > limit:

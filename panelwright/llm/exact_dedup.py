@@ -117,7 +117,7 @@ def drop_exact(docs: DataFrame) -> DataFrame:
     """
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     sha = F.sha2(F.translate(F.coalesce("text", F.lit("")), upper, lower), 256)
-    keep = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    rows = docs.withColumn("_sha", sha)
-    rows = rows.join(keep, (rows["doc_id"].eqNullSafe(keep["_id"])) & (rows["_sha"] == keep["_sha"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    keep = exact_groups(docs).where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("digest")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", sha.alias("sha"))
+    rows = rows.join(keep, rows["doc_id"].eqNullSafe(keep["id"]) & (rows["sha"] == keep["digest"]), "left_semi")
+    return rows.dropDuplicates(["doc_id", "sha"]).select("row.*")

@@ -16,7 +16,7 @@ by hash of the id); everything else runs over all rows. Each document is scored
 Defined results: rows without a label, or with a null quality, don't train; null toxic counts
 as not toxic. Several labels of one document count as several. A null or empty text has no
 features but its length step and is scored like any other. Without labelled rows all scores
-are the middle grade and every document is kept. An empty table gives no rows.
+are alike and every document is kept. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -108,7 +108,7 @@ class Model:
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, passes: int = 30, decay: float = 2e-4) -> Model:
     """Minibatch Adam on the cumulative-link likelihood; thresholds stay in order by their gaps."""
     if not len(grades):
-        return Model(np.zeros(WIDTH), np.array([-1.0, 1.0]))
+        return Model(np.zeros(WIDTH), np.array([-1.0, 0.0]))
     df = np.bincount(np.concatenate([np.unique(i) for i, _ in rows]), minlength=WIDTH)
     idf = np.where(df >= max(3, COMMON * len(rows)), np.log((1 + len(rows)) / (1 + df)) + 0.3, 0.0)
     idf[:8192] = 1.0

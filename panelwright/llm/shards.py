@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,7 +91,7 @@ def question(shard: int, buckets: int, h: np.ndarray, a: np.ndarray, b: np.ndarr
 def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     joined = column.combine_chunks()
     joined = joined if isinstance(joined, pa.Array) else pa.concat_arrays(joined.chunks)
-    return np.asarray(joined.flatten()), np.asarray(pa.compute.list_value_length(joined))
+    return np.asarray(joined.flatten()), np.asarray(pc.list_value_length(joined))
 
 
 def answered(asked: DataFrame, judge: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:

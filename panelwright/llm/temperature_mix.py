@@ -22,10 +22,12 @@ tokens, gives no rows.
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import stage, text_key, unstage
+from panelwright.llm.common import stage, text_key
 
 ENTROPY = 0.95  # of the entropy of equal weights
 EPOCHS = 4.0  # times that a document may be seen, at most
@@ -58,13 +60,11 @@ def exponent(totals: DataFrame, budget: int, entropy: float = ENTROPY, epochs: f
             columns += [F.sum(p).alias(f"z{i}"), F.sum(p * F.log("s")).alias(f"l{i}"), F.max(F.pow("s", F.lit(a - 1))).alias(f"m{i}")]
         row = share.agg(*columns).first()
         return [
-            (float(F_log(row[f"z{i}"]) - a * row[f"l{i}"] / row[f"z{i}"]), budget / whole * row[f"m{i}"] / row[f"z{i}"])
+            (float(log(row[f"z{i}"]) - a * row[f"l{i}"] / row[f"z{i}"]), budget / whole * row[f"m{i}"] / row[f"z{i}"])
             for i, a in enumerate(tries)
         ]
 
-    from math import log as F_log
-
-    wanted = entropy * F_log(n)
+    wanted = entropy * log(n)
 
     def bisect(good_low: bool, good) -> float:
         """The edge of good between 0 and 1; good holds below it if good_low, else above."""
@@ -113,7 +113,7 @@ def mixture(docs: DataFrame, budget: int | None = None, entropy: float = ENTROPY
     dealt = dealt.withColumn("block_order", F.xxhash64(F.lit(seed), "epoch", "of", "block"))
     dealt = dealt.withColumn("turn", F.xxhash64(F.lit(seed + 1), "epoch", "doc_id", "key"))
     in_block = Window.partitionBy("of", "epoch", "block").orderBy("turn", "doc_id", "key").rowsBetween(Window.unboundedPreceding, 0)
-    dealt = dealt.withColumns({"place": F.row_number().over(in_block.rowsBetween(Window.unboundedPreceding, 0)), "sum_in": F.sum("n_tokens").over(in_block)})
+    dealt = dealt.withColumns({"place": F.row_number().over(in_block), "sum_in": F.sum("n_tokens").over(in_block)})
 
     last = rows.join(plan, "of").withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "key"), "blocks"))
     sums = last.groupBy("of", "block", "full").agg(F.sum("n_tokens").alias("in_block"))
@@ -130,25 +130,17 @@ def mixture(docs: DataFrame, budget: int | None = None, entropy: float = ENTROPY
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """Docs as the mixture has them: rows left out or repeated, columns as they came."""
-    counts = mixture(docs, **how).groupBy("doc_id", "source", "key").agg(F.count("*").alias("_copies"))
-    rows = docs.withColumn("_key", text_key())
-    same = docs.groupBy("doc_id", "source", text_key().alias("key")).agg(F.count("*").alias("_rows"))
-    counts = stage(
-        counts.alias("c")
-        .join(same.alias("s"), F.expr("c.doc_id <=> s.doc_id AND c.source <=> s.source AND c.key = s.key"))
-        .select(F.col("c.doc_id").alias("_id"), F.col("c.source").alias("_source"), F.col("c.key").alias("_k"), "_copies", "_rows"),
-        "copies",
-    )
-    joined = rows.join(
-        counts, (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-    )
-    # rows that repeat id, source and text share their copies; whole ones go to each, the rest to the first
-    nth = F.row_number().over(Window.partitionBy("_id", "_source", "_k").orderBy(F.lit(0))) if _has_repeats(same) else F.lit(1)
-    joined = joined.withColumn("_nth", nth)
-    times = F.expr("_copies div _rows") + F.when(F.col("_nth") <= F.expr("_copies % _rows"), 1).otherwise(0)
-    joined = joined.withColumn("_copy", F.explode(F.when(times > 0, F.sequence(F.lit(1).cast("bigint"), times.cast("bigint"))).otherwise(F.array().cast("array<bigint>"))))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
-def _has_repeats(same: DataFrame) -> bool:
-    return not same.where("_rows > 1").isEmpty()
+    key = ["doc_id", "source", "key"]
+    copies = mixture(docs, **how).groupBy(key).agg(F.count("*").alias("copies"))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "source", text_key().alias("key"))
+    # rows that repeat id, source and text share their copies: whole ones go to each, the rest to the first
+    alike = rows.groupBy(key).agg(F.count("*").alias("rows"))
+    same = lambda a, b: F.expr(f"{a}.key = {b}.key AND {a}.doc_id <=> {b}.doc_id AND {a}.source <=> {b}.source")
+    counts = stage(copies.alias("c").join(alike.alias("s"), same("c", "s")).select(*[f"c.{k}" for k in key], "copies", "rows"), "copies")
+    joined = rows.alias("r").join(counts.alias("c"), same("r", "c")).select("r.*", "copies", "rows")
+    if counts.where("rows > 1").isEmpty():
+        joined = joined.withColumn("nth", F.lit(1))
+    else:
+        joined = joined.withColumn("nth", F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0))))
+    times = F.expr("copies div rows + if(nth <= copies % rows, 1, 0)")
+    return joined.withColumn("times", times).where("times > 0").withColumn("copy", F.explode(F.expr("sequence(1L, times)"))).select("row.*")
