@@ -7,8 +7,8 @@ with ``file_order=True`` carry one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from panelwright.functions.numeric import (
     to_double,
     whole_number,
 )
-from panelwright.functions.text import casefold_key, extract_year, first_chars, upper_key
+from panelwright.functions.text import casefold_key, extract_year, first_chars
 from panelwright.operators.joins import lookup, outer_merge, unmatched_names
 from panelwright.operators.merge import last_known
 from panelwright.operators.ranking import first_per_key
@@ -36,6 +36,20 @@ SHEET_TOTALS = ["GLOBAL TOTAL", "OECD TOTAL", "NON-OECD TOTAL", "EU27"]
 
 IN_FILE_ORDER = (FILE_ORDER,)
 
+Window = tuple[int, int]
+
+# First and last year each table takes from its release. A load takes another
+# window as ``years``, the full load through ``RawInputs.years``.
+WINDOWS: dict[str, Window] = {
+    "Sector_Country": (2000, 2023),
+    "Power Source_Country": (2000, 2024),
+    "Environmental Indicator": (2000, 2025),
+    "Development": (2000, 2025),
+    "Investment": (1960, 2025),
+    "Power Consumed": (2000, 2025),
+    "Demography": (2000, 2025),
+}
+
 
 # ---------------------------------------------------------------- dimensions
 
@@ -55,16 +69,18 @@ def sectors(raw: DataFrame, name: str = "Sector") -> DataFrame:
 
 
 def _without_totals(sheet: DataFrame) -> DataFrame:
-    is_total = upper_key(F.col("EDGAR Country Code")).isin(SHEET_TOTALS)
+    is_total = F.upper("EDGAR Country Code").isin(SHEET_TOTALS)  # blanks around a code count
     return sheet.where(~F.coalesce(is_total, F.lit(False)))
 
 
-def sector_emissions(sheet: DataFrame, country: DataFrame, sector: DataFrame) -> DataFrame:
+def sector_emissions(
+    sheet: DataFrame, country: DataFrame, sector: DataFrame, years: Window = WINDOWS["Sector_Country"]
+) -> DataFrame:
     """Sheet of (sector, country) rows with a column per year -> Sector_Country rows.
 
     Names are matched on the wide rows, before they multiply by the number of years.
     """
-    years = year_columns(sheet)
+    columns = year_columns(sheet, *years)
     rows = _without_totals(sheet)
     matched = lookup(rows, "Sector", sector, "Name", "ID_Sector", "Sector_ID_Sector", "accent_fold", "inner")
     matched = lookup(
@@ -79,10 +95,10 @@ def sector_emissions(sheet: DataFrame, country: DataFrame, sector: DataFrame) ->
         names_from=rows,
     )
     typed = matched.select(
-        "Sector_ID_Sector", "Country_ID_Country", *[F.col(f"`{y}`").cast("double").alias(y) for y in years]
+        "Sector_ID_Sector", "Country_ID_Country", *[F.col(f"`{y}`").cast("double").alias(y) for y in columns]
     )
     long = unpivot_columns(
-        typed, ["Sector_ID_Sector", "Country_ID_Country"], years, "Year", "CO2_Emission", drop_nulls=True
+        typed, ["Sector_ID_Sector", "Country_ID_Country"], columns, "Year", "CO2_Emission", drop_nulls=True
     )
     return long.where(~F.isnan("CO2_Emission")).select(
         "Sector_ID_Sector",
@@ -114,6 +130,7 @@ def source_emissions(
     source: DataFrame,
     labels: DataFrame,
     order: Sequence[str] = IN_FILE_ORDER,
+    years: Window = WINDOWS["Power Source_Country"],
 ) -> DataFrame:
     """Long energy rows -> Power Source_Country rows, generation and emission side by side.
 
@@ -122,7 +139,7 @@ def source_emissions(
     ends, repeated keys included, without ever forming the pairs.
     """
     named = source.join(labels, source["Name"] == labels["name"]).select("label", "ID_Power")
-    rows = raw.where(F.col("Year").between(2000, 2024) & F.col("Category").isin(GENERATION, EMISSIONS))
+    rows = raw.where(F.col("Year").between(*years) & F.col("Category").isin(GENERATION, EMISSIONS))
     rows = lookup(rows, "Area", country, "Name", "ID_Country", "Country_ID_Country", "exact", "inner")
     rows = lookup(rows, "Variable", named, "label", "ID_Power", "Power Source_ID_Power", "exact", "inner")
     amount = round_scaled(to_double(F.col("Value")), 2)
@@ -151,10 +168,13 @@ def _country_ids(df: DataFrame, name: str, country: DataFrame) -> DataFrame:
 
 
 def environmental(
-    raw: DataFrame, country: DataFrame, order: Sequence[str] = IN_FILE_ORDER
+    raw: DataFrame,
+    country: DataFrame,
+    order: Sequence[str] = IN_FILE_ORDER,
+    years: Window = WINDOWS["Environmental Indicator"],
 ) -> DataFrame:
     """CO2 per country and year. A missing figure still makes a row, with a null."""
-    rows = _country_ids(_in_years(raw, 2000, 2025), "Country", country)
+    rows = _country_ids(_in_years(raw, *years), "Country", country)
     typed = rows.select(
         "Country_ID",
         F.col("Year").cast("int").alias("Year"),
@@ -181,6 +201,7 @@ def development(
     poverty_2: DataFrame,
     country: DataFrame,
     order: Sequence[str] = IN_FILE_ORDER,
+    years: Window = WINDOWS["Development"],
 ) -> DataFrame:
     """Development index x1000 with the poverty measures of the same country and year.
 
@@ -191,7 +212,7 @@ def development(
         _poverty(poverty_2, {"Electricity": "Electricity", "Sanitation": "Sanitation"}, order),
         ["key", "Ano"],
     )
-    typed = _in_years(index, 2000, 2025).select(
+    typed = _in_years(index, *years).select(
         casefold_key(F.col("Entity")).alias("key"),
         F.col("Year").cast("int").alias("Ano"),
         scaled_int(F.col("Human Development Index"), 1000).alias("IDH"),
@@ -206,8 +227,13 @@ def development(
     )
 
 
-def investment(raw: DataFrame, country: DataFrame, order: Sequence[str] = IN_FILE_ORDER) -> DataFrame:
-    rows = _country_ids(_in_years(raw, 1960, 2025, "year"), "country_name", country)
+def investment(
+    raw: DataFrame,
+    country: DataFrame,
+    order: Sequence[str] = IN_FILE_ORDER,
+    years: Window = WINDOWS["Investment"],
+) -> DataFrame:
+    rows = _country_ids(_in_years(raw, *years, "year"), "country_name", country)
     typed = rows.select(
         "Country_ID",
         F.col("year").cast("int").alias("Year"),
@@ -219,9 +245,14 @@ def investment(raw: DataFrame, country: DataFrame, order: Sequence[str] = IN_FIL
     return first_per_key(typed.dropna(subset=["GDP"]), ["Country_ID", "Year"], order).drop(*order)
 
 
-def power_consumed(raw: DataFrame, country: DataFrame, order: Sequence[str] = IN_FILE_ORDER) -> DataFrame:
+def power_consumed(
+    raw: DataFrame,
+    country: DataFrame,
+    order: Sequence[str] = IN_FILE_ORDER,
+    years: Window = WINDOWS["Power Consumed"],
+) -> DataFrame:
     """Consumption, imports and renewable share; a row without any figure is kept too."""
-    rows = _country_ids(_in_years(raw, 2000, 2025), "Country", country)
+    rows = _country_ids(_in_years(raw, *years), "Country", country)
     renewable = "Renewable energy consumption (% of total final energy consumption)"
     typed = rows.select(
         "Country_ID",
@@ -234,8 +265,13 @@ def power_consumed(raw: DataFrame, country: DataFrame, order: Sequence[str] = IN
     return first_per_key(typed, ["Country_ID", "Year"], order).drop(*order)
 
 
-def demography(raw: DataFrame, country: DataFrame, order: Sequence[str] = IN_FILE_ORDER) -> DataFrame:
-    rows = _country_ids(_in_years(raw, 2000, 2025), "Entity", country)
+def demography(
+    raw: DataFrame,
+    country: DataFrame,
+    order: Sequence[str] = IN_FILE_ORDER,
+    years: Window = WINDOWS["Demography"],
+) -> DataFrame:
+    rows = _country_ids(_in_years(raw, *years), "Entity", country)
     typed = rows.select(
         "Country_ID",
         F.col("Year").cast("int").alias("Year"),
@@ -262,31 +298,51 @@ class RawInputs:
     investment: DataFrame
     consumption: DataFrame
     order: Sequence[str] = IN_FILE_ORDER
+    years: Mapping[str, Window] = field(default_factory=dict)  # per table, in place of WINDOWS
+
+
+def cut_names(names: DataFrame, name: str) -> DataFrame:
+    """Names that only differ beyond the declared length, by what is left of them."""
+    full = names.select(F.col(f"`{name}`").alias("full")).dropna().distinct()
+    cut = full.groupBy(first_chars(F.col("full")).alias("Name")).agg(F.count(F.lit(1)).alias("n_names"))
+    return cut.where("n_names > 1")
+
+
+def _refuse_cut_names(names: DataFrame, name: str) -> None:
+    lost = cut_names(names, name).first()
+    if lost:
+        raise ValueError(f"{lost.n_names} names would become one, {lost.Name!r}")
 
 
 def load_all(spark: SparkSession, raw: RawInputs, store: PanelStore) -> None:
     """Dimensions, then bridges, then indicators; safe to repeat.
 
+    A sheet in which two rows fold to one sector and country has a repeated key, and so do
+    names that agree in their first characters: both raise.
+
     Every stage reads what earlier stages wrote, so a stage that has been committed is not
     computed again when a later one is.
     """
+    window = {**WINDOWS, **raw.years}
     store.create()
+    _refuse_cut_names(raw.country_list, "Table Name")
+    _refuse_cut_names(raw.sector_sheet, "Sector")
     store.insert_ignore("Country", countries(raw.country_list))
     store.insert_ignore("Sector", sectors(raw.sector_sheet))
     store.insert_ignore("Power Source", power_source_seed(spark))
     country, order = store.read("Country"), raw.order
     store.upsert(
-        "Sector_Country", sector_emissions(raw.sector_sheet, country, store.read("Sector"))
+        "Sector_Country", sector_emissions(raw.sector_sheet, country, store.read("Sector"), window["Sector_Country"])
     )
     store.upsert(
         "Power Source_Country",
-        source_emissions(raw.energy, country, store.read("Power Source"), source_labels(spark), order),
+        source_emissions(raw.energy, country, store.read("Power Source"), source_labels(spark), order, window["Power Source_Country"]),
     )
-    store.upsert("Environmental Indicator", environmental(raw.emissions, country, order))
+    store.upsert("Environmental Indicator", environmental(raw.emissions, country, order, window["Environmental Indicator"]))
     store.upsert(
         "Development",
-        development(raw.development_index, raw.poverty_1, raw.poverty_2, country, order),
+        development(raw.development_index, raw.poverty_1, raw.poverty_2, country, order, window["Development"]),
     )
-    store.upsert("Investment", investment(raw.investment, country, order))
-    store.upsert("Power Consumed", power_consumed(raw.consumption, country, order))
-    store.upsert("Demography", demography(raw.development_index, country, order), mode="replace")
+    store.upsert("Investment", investment(raw.investment, country, order, window["Investment"]))
+    store.upsert("Power Consumed", power_consumed(raw.consumption, country, order, window["Power Consumed"]))
+    store.upsert("Demography", demography(raw.development_index, country, order, window["Demography"]), mode="replace")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -38,7 +39,19 @@ def _local_folder() -> str:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh path under the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only where the setting is missing, as in a bare local test, is a local folder used.
+    Where the setting is missing a local folder is used if the master is local, since driver
+    and tasks then share it; on a cluster each executor would write to its own disk.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir is not set, and {master} has no folder that all executors share")
+        base = _local_folder()
     return f"{base.rstrip('/')}/panelwright-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Row, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.operators.keys import dense_keys
 from panelwright.operators.merge import insert_ignore, merge_rows
+from panelwright.operators.quality import key_duplicates
 from panelwright.schema import TABLES, TableSpec
-from panelwright.session import shared_folder
+from panelwright.session import remove_folder, shared_folder
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -29,6 +33,24 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[typed(c) for c in spec.columns.fieldNames() if c in df.columns])
 
 
+#: Years a fact may hold: what bounds the list of partitions that an upsert reads.
+YEARS = (1000, 3000)
+
+
+class RepeatedKey(ValueError):
+    """A batch that a primary key would refuse."""
+
+
+def _key_text(spec: TableSpec, row: Row) -> str:
+    return ", ".join(f"{k}={row[k]!r}" for k in spec.key)
+
+
+def _refuse_repeats(spec: TableSpec, batch: DataFrame) -> None:
+    found = key_duplicates(batch, spec.key).first()
+    if found:
+        raise RepeatedKey(f"{found.n_rows} rows for {spec.name} have {_key_text(spec, found)}")
+
+
 class PanelStore:
     """Create, read, append, insert-ignore and upsert the declared tables."""
 
@@ -58,41 +80,56 @@ class PanelStore:
         return {table: self.read(table) for table in TABLES}
 
     def append(self, table: str, rows: DataFrame) -> None:
-        ready = conform(rows, table)
-        if TABLES[table].surrogate:
-            ready = self._numbered(table, self._staged(TABLES[table], ready))
-        self._write(TABLES[table], ready, "append")
+        """Add rows with new keys; a key that repeats, in the batch or in the table, raises."""
+        spec = TABLES[table]
+        with self._staged(spec, conform(rows, table)) as incoming:
+            _refuse_repeats(spec, incoming)
+            same = [incoming[f"`{k}`"] == F.col(f"old.`{k}`") for k in spec.key]
+            clash = incoming.join(self.read(table).alias("old"), same, "left_semi").first()
+            if clash:
+                raise RepeatedKey(f"{spec.name} has {_key_text(spec, clash)} already")
+            self._write(spec, self._numbered(table, incoming), "append")
 
     def insert_ignore(self, table: str, rows: DataFrame) -> None:
         """Append the rows whose natural key is not there yet."""
         new = insert_ignore(self.read(table), conform(rows, table), TABLES[table].key)
-        staged = self._staged(TABLES[table], new)
-        self._write(TABLES[table], self._numbered(table, staged), "append")
+        with self._staged(TABLES[table], new) as staged:
+            self._write(TABLES[table], self._numbered(table, staged), "append")
 
     def upsert(self, table: str, rows: DataFrame, mode: str = "keep_old") -> None:
-        """Merge rows (one per key) into a fact, rewriting only the years they touch.
+        """Merge rows into a fact, rewriting only the years they touch. A key that repeats raises.
 
         The incoming rows are written once to the shared folder, split by year, so the plan
         that produces them runs once. Old and new rows of the touched years then meet in
         one full outer join on the key; other years are neither read nor written. As with
         a database sequence, a row that only updates uses up its provisional number.
+        Years outside ``YEARS`` raise, so a garbled year column cannot become a list of folders.
         """
         spec = TABLES[table]
-        incoming = self._staged(spec, conform(rows, table))
-        # The years of the batch are its partition folders: a short list, read from metadata,
-        # that as a literal filter prunes the table before its files are listed for reading.
-        years = [y for (y,) in incoming.select(spec.partition).distinct().collect()]
-        touched = self.read(table).where(F.col(spec.partition).isin(years))
-        numbered = self._numbered(table, incoming)
-        merged = merge_rows(touched, numbered, spec.key, mode, keep=(spec.surrogate,))
-        self._write(spec, merged, "overwrite")
-
-    def _staged(self, spec: TableSpec, rows: DataFrame) -> DataFrame:
-        """The rows written once to the shared folder: numbering and merging read them more
-        than once, and what produced them should not run again."""
+        with self._staged(spec, conform(rows, table)) as incoming:
+            _refuse_repeats(spec, incoming)
+            # One aggregate over the batch's partition column; as a literal filter the years
+            # prune the table before its files are listed for reading.
+            year = F.col(f"`{spec.partition}`")
+            odd = incoming.where(~year.between(*YEARS)).first()
+            if odd:
+                raise ValueError(f"{spec.name}: {spec.partition} {odd[spec.partition]} is not within {YEARS}")
+            years = [y for (y,) in incoming.select(year).distinct().collect()]
+            touched = self.read(table).where(year.isin(years))
+            numbered = self._numbered(table, incoming)
+            merged = merge_rows(touched, numbered, spec.key, mode, keep=(spec.surrogate,))
+            self._write(spec, merged, "overwrite")
+
+    @contextmanager
+    def _staged(self, spec: TableSpec, rows: DataFrame) -> Iterator[DataFrame]:
+        """The rows written once to the shared folder: checks, numbering and merging read them
+        more than once, and what produced them should not run again. Removed when done."""
         path = shared_folder(self.spark)
         _writer(rows, spec).parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        try:
+            yield self.spark.read.schema(rows.schema).parquet(path)
+        finally:
+            remove_folder(self.spark, path)
 
     def _numbered(self, table: str, rows: DataFrame) -> DataFrame:
         """Give rows without one a surrogate key above the largest in use."""

@@ -35,7 +35,11 @@ def literal_rows(spark: SparkSession, rows: list[tuple], columns: str) -> DataFr
     """Fixed rows as a VALUES relation: its size is known, so joins can rely on it."""
 
     def cell(value: object) -> str:
-        return repr(value) if isinstance(value, str) else str(value).upper()
+        if value is None:
+            return "NULL"
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return str(value).upper()
 
     cells = ", ".join("(" + ", ".join(cell(v) for v in row) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {cells} AS t({columns})")

@@ -208,3 +208,46 @@ def test_tidy_energy_wide(spark):
         "Country string, Year int, Category string, Variable string, Unit string, Value double, o int",
     )
     assert rows(tidy.energy_wide(release, ["o"])) == [("Chad", 2000, "Coal", 1.0, 3.0)]
+
+
+def _sheet(spark, *rows):
+    return spark.createDataFrame(rows, "Sector string, `EDGAR Country Code` string, Country string, `2000` double")
+
+
+def test_names_that_fold_to_one_are_refused_however_often(spark, raw, tmp_path):
+    from dataclasses import replace
+
+    from panelwright.sinks.store import RepeatedKey
+
+    store = PanelStore(spark, str(tmp_path / "panel"))
+    twice = replace(raw, sector_sheet=_sheet(spark, ("Power", "TCD", "Chad", 1.0), ("Power", "TCD", "Ch\u00e1d", 2.0)))
+    for _ in range(3):
+        with pytest.raises(RepeatedKey, match="2 rows for Sector_Country"):
+            loads.load_all(spark, twice, store)
+        assert store.read("Sector_Country").count() == 0 and store.read("Sector").count() == 1
+
+
+def test_names_cut_to_one_are_refused(spark, raw, tmp_path):
+    from dataclasses import replace
+
+    store = PanelStore(spark, str(tmp_path / "panel"))
+    long = "x" * 100
+    cut = replace(raw, sector_sheet=_sheet(spark, (long + "a", "TCD", "Chad", 1.0), (long + "b", "TCD", "Chad", 2.0)))
+    with pytest.raises(ValueError, match="2 names would become one"):
+        loads.load_all(spark, cut, store)
+
+
+def test_a_total_with_blanks_around_its_code_is_no_total(spark):
+    sheet = _sheet(spark, ("Power", "eu27", "Chad", 1.0), ("Power", " EU27 ", "Chad", 2.0), ("Power", None, "Chad", 3.0))
+    country = spark.createDataFrame([(1, "Chad")], "ID_Country int, Name string")
+    sector = spark.createDataFrame([(1, "Power")], "ID_Sector int, Name string")
+    found = loads.sector_emissions(sheet, country, sector).collect()
+    assert sorted(r.CO2_Emission for r in found) == [2.0, 3.0]
+
+
+def test_year_windows_are_parameters(spark):
+    rows = spark.createDataFrame([("Chad", 2025, "1"), ("Chad", 2026, "2")], "Country string, Year int, `CO2 Emission` string")
+    country = spark.createDataFrame([(1, "Chad")], "ID_Country int, Name string")
+    ordered = rows.withColumn("n", F.lit(1))
+    assert loads.environmental(ordered, country, ["n"]).count() == 1
+    assert loads.environmental(ordered, country, ["n"], years=(2000, 2026)).count() == 2

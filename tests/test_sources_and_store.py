@@ -11,6 +11,7 @@ from panelwright.functions import extract_year, parse_number, scaled_int
 from panelwright.operators import audit, first_per_key
 from panelwright.schema import TABLES
 from panelwright.session import shared_folder
+from panelwright.sinks.store import RepeatedKey
 from panelwright.sinks import PanelStore, conform, write_result_csv
 
 REPORT = """Table 1: Index: some countries ,,,,,
@@ -164,3 +165,58 @@ def test_audit_names_table_rule_and_rows(spark):
 def test_shared_folder_is_under_the_named_one(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark).startswith(base) and shared_folder(spark) != shared_folder(spark)
+
+
+class _Elsewhere:
+    """A session whose master is a cluster and that names no shared folder."""
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+    class sparkContext:
+        master = "yarn"
+
+
+def test_no_local_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Elsewhere)
+    _Elsewhere.sparkContext.master = "local-cluster[3,2,3000]"
+    with pytest.raises(ValueError):
+        shared_folder(_Elsewhere)
+    _Elsewhere.sparkContext.master = "local[4]"
+    assert shared_folder(_Elsewhere)
+
+
+def test_literal_rows_take_nulls_and_quotes(spark):
+    values = [("it's", None), (None, True), ('a"b\\c', False)]
+    assert {tuple(r) for r in sources.literal_rows(spark, values, "name, flag").collect()} == set(values)
+
+
+def _bridge(spark, *keys):
+    return spark.createDataFrame([(s, c, y, 1.5) for s, c, y in keys], "Sector_ID_Sector int, Country_ID_Country int, Year int, CO2_Emission double")
+
+
+def test_repeated_keys_are_refused(spark, tmp_path):
+    store = PanelStore(spark, str(tmp_path / "panel"))
+    store.create("Sector_Country", "Demography")
+    store.append("Sector_Country", _bridge(spark, (1, 1, 2000), (1, 2, 2000), (1, 1, 2001)))
+    for write in (store.append, store.upsert):
+        with pytest.raises(RepeatedKey, match="Sector_ID_Sector=2, Country_ID_Country=2, Year=2001"):
+            write("Sector_Country", _bridge(spark, (2, 2, 2001), (2, 2, 2001), (3, 3, 2001)))
+    with pytest.raises(RepeatedKey, match="already"):
+        store.append("Sector_Country", _bridge(spark, (1, 2, 2000), (9, 9, 2005)))
+    assert store.read("Sector_Country").count() == 3
+    with pytest.raises(ValueError, match="Year 20001"):
+        store.upsert("Demography", _population(spark, [(1, 20001, 5)]))
+
+
+def test_staged_batches_are_removed(spark, tmp_path):
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(base))
+    store = PanelStore(spark, str(tmp_path / "panel"))
+    store.create("Demography")
+    store.upsert("Demography", _population(spark, [(1, 2000, 5)]))
+    store.append("Demography", _population(spark, [(2, 2000, 5)]))
+    assert set(os.listdir(base)) == before and store.read("Demography").count() == 2
