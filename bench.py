@@ -40,6 +40,10 @@ HEADLINE = [
     "casefold_text",
     "key_duplicates",
     "fk_orphans",
+    "load_everything",
+    "store_upsert",
+    "unmatched_names",
+    "audit_panel",
 ]
 
 

@@ -18,8 +18,7 @@ from panelwright.sources.seeds import literal_rows
 
 SEQ = ("seq",)
 
-# Years of the star's orders; the label an energy file gives each segment.
-STAR_YEARS = list(range(1992, 2003))
+# The label an energy file gives each segment; others keep their own name.
 SEGMENT_LABELS = [
     ("AUTOMOBILE", "Coal"),
     ("BUILDING", "Solar"),
@@ -30,21 +29,20 @@ SEGMENT_LABELS = [
 CAPACITY = "Capacity"
 
 
-class LogPanel(StarPanel):
-    """The star panel with every measure on a log scale, so that it fits the declared types
-    however large the star is."""
+class ScaledPanel(StarPanel):
+    """The star panel with every amount divided by a stated factor, so that it fits the declared types."""
+
+    factor = 10_000_000
 
     def __getitem__(self, name: str) -> DataFrame:
         df = super().__getitem__(name)
         sums = [f.name for f in df.schema if isinstance(f.dataType, DecimalType) and f.name != "Renewable_Energy"]
-        return df.withColumns({c: F.log10(F.col(c) + 1).cast("decimal(20,4)") for c in sums})
+        return df.withColumns({c: (F.col(c) / self.factor).cast("decimal(20,4)") for c in sums})
 
 
 def known_countries(panel: StarPanel) -> DataFrame:
-    """Country dimension without the nations of region 0, so some names stay unmatched."""
-    return panel.star("nation").where(F.col("n_regionkey") != 0).select(
-        F.col("n_nationkey").alias("ID_Country"), _plain("n_name").alias("Name")
-    )
+    """Country dimension; the raw inputs misspell the nations of region 0, so they stay unmatched."""
+    return panel.star("nation").select(F.col("n_nationkey").alias("ID_Country"), _plain("n_name").alias("Name"))
 
 
 def _plain(name: str) -> Column:
@@ -52,7 +50,8 @@ def _plain(name: str) -> Column:
 
 
 def _names(panel: StarPanel, key: str) -> DataFrame:
-    return panel.star("nation").select(F.col("n_nationkey").alias(key), _plain("n_name").alias("plain"))
+    misspelt = F.when(F.col("n_regionkey") == 0, F.concat(F.lit("OLD "), _plain("n_name"))).otherwise(_plain("n_name"))
+    return panel.star("nation").select(F.col("n_nationkey").alias(key), misspelt.alias("plain"))
 
 
 def _messy(plain: Column) -> Column:
@@ -74,7 +73,7 @@ def sector_sheet(panel: StarPanel) -> DataFrame:
     accents = ("AEIOU", "ÀÉÎÕÜ")
     cells = {
         f" {y + 5}.0": F.max(F.when(F.col("Year") == y, (F.col("CO2_Emission") * 100).cast("double") / 1024))
-        for y in STAR_YEARS
+        for y in panel.order_years
     }
     wide = (
         panel["Sector_Country"]
@@ -83,8 +82,11 @@ def sector_sheet(panel: StarPanel) -> DataFrame:
         .join(panel["Sector"].withColumnRenamed("ID_Sector", "Sector_ID_Sector"), "Sector_ID_Sector")
         .join(_names(panel, "Country_ID_Country"), "Country_ID_Country")
     )
-    code = F.when(F.col("Country_ID_Country") == 7, F.lit("eu27")).when(
-        F.col("Country_ID_Country") != 2, F.lit("XYZ")
+    # a total's code with blanks around it is no total
+    code = (
+        F.when(F.col("Country_ID_Country") == 7, F.lit("eu27"))
+        .when(F.col("Country_ID_Country") == 8, F.lit(" eu27 "))
+        .when(F.col("Country_ID_Country") != 2, F.lit("XYZ"))
     )
     return clean_headers(
         wide.select(
@@ -105,7 +107,8 @@ def energy_release(panel: StarPanel) -> DataFrame:
     named = (
         panel["Power Source_Country"]
         .join(panel["Power Source"].withColumnRenamed("ID_Power", "Power Source_ID_Power"), "Power Source_ID_Power")
-        .join(labels, "Name")
+        .join(labels, "Name", "left")
+        .withColumn("Variable", F.coalesce("Variable", "Name"))
         .join(_names(panel, "Country_ID_Country"), "Country_ID_Country")
     )
     generation = F.col("Power_Generation").cast("double") / 8
@@ -185,10 +188,9 @@ def poverty_1(panel: StarPanel) -> DataFrame:
 
 
 def poverty_2(panel: StarPanel) -> DataFrame:
-    """The second report covers later years only and has a row without a year."""
-    later = _survey(panel).where(F.col("Ano") > 1998)
-    dated = F.when(F.col("Ano") < 2001, F.col("Year and survey")).otherwise(F.lit("—"))
-    return later.select(
+    """Most rows of the second report are without a year."""
+    dated = F.when((F.col("Ano") > 1998) & (F.col("Ano") < 2001), F.col("Year and survey")).otherwise(F.lit("—"))
+    return _survey(panel).select(
         "Country",
         dated.alias("Year and survey"),
         _tenths("Electricity").alias("Electricity"),
@@ -228,7 +230,7 @@ def fossil_sheet(panel: StarPanel) -> DataFrame:
     """(Country, one column per year) of the total emission."""
     cells = [
         F.max(F.when(F.col("Year") == y, F.col("CO2_Emision").cast("double"))).alias(str(y + 5))
-        for y in STAR_YEARS
+        for y in panel.order_years
     ]
     return (
         panel["Environmental Indicator"]
@@ -238,10 +240,11 @@ def fossil_sheet(panel: StarPanel) -> DataFrame:
     )
 
 
-def land_use_sheet(panel: StarPanel, nations: int = 25) -> DataFrame:
+def land_use_sheet(panel: StarPanel) -> DataFrame:
     """(Year, one column per nation) of returned amounts, three years on."""
+    nations = panel.star("nation").select("n_nationkey", "n_name").collect()  # the columns of the sheet
     cells = [
-        F.sum(F.when(F.col("Country_ID_Country") == n, F.col("CO2_Emission"))).cast("double").alias(f"NATION_{n}")
-        for n in range(nations)
+        F.sum(F.when(F.col("Country_ID_Country") == n, F.col("CO2_Emission"))).cast("double").alias(name)
+        for n, name in nations
     ]
     return panel["Power Source_Country"].groupBy((F.col("Year") + 3).alias("Year")).agg(*cells)

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.numeric import ratio
 from panelwright.operators.keys import dense_keys
+from panelwright.session import shared_folder
 
 # Nations that do not report a figure, and the renewable segments.
-NO_PROMO = [1, 6, 11, 16, 21]
 NO_TOTAL = [3]
 NO_ENERGY_INVESTMENT = [0, 4, 8, 12, 16, 20, 24]
 NO_ELECTRICITY = [0, 3, 6, 9, 12, 15, 18, 21, 24]
@@ -53,16 +53,26 @@ def from_cents(amount: Column) -> Column:
 
 
 def name_id(name: Column) -> Column:
-    """Stable id of a name: 60 bits of its digest. Facts get it without a join."""
+    """Stable id of a name: 60 bits of its digest. Facts get it without a join.
+
+    Meant for the few names of a dimension; an unbounded set of words needs the whole digest."""
     return F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("bigint")
 
 
 class StarPanel(Mapping[str, DataFrame]):
-    """Lazy tables by name; only what a question touches is planned."""
+    """Lazy tables by name; only what a question touches is planned.
+
+    ``years`` (first, last) cuts the orders to whole years by their dates, a filter that
+    skips row groups. ``share`` writes what several tables are computed from to the
+    shared folder on first use: the lines are then read once for the sales by segment and
+    once for those by part type, however many tables a question takes.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, years: tuple[int, int] | None = None, share: bool = False):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.years = years
+        self.share = share
         self._cache: dict[str, DataFrame] = {}
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "Country": self._country,
@@ -93,9 +103,26 @@ class StarPanel(Mapping[str, DataFrame]):
 
     # ------------------------------------------------------------ shared steps
 
+    @cached_property
+    def order_years(self) -> list[int]:
+        """Every year from the first order to the last, by one aggregate."""
+        first, last = self.star("orders").agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+        return list(range(first, last + 1)) if first is not None else []
+
+    def _shared(self, df: DataFrame) -> DataFrame:
+        if not self.share:
+            return df
+        path = shared_folder(self.spark)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     @cached_property
     def _orders(self) -> DataFrame:
-        return self.star("orders").withColumn("Year", F.year("o_orderdate"))
+        orders = self.star("orders")
+        if self.years:
+            first, last = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (self.years[0], self.years[1] + 1))
+            orders = orders.where((F.col("o_orderdate") >= first) & (F.col("o_orderdate") < last))
+        return orders.withColumn("Year", F.year("o_orderdate"))
 
     @cached_property
     def _order_lines(self) -> DataFrame:
@@ -124,7 +151,7 @@ class StarPanel(Mapping[str, DataFrame]):
     @cached_property
     def _sold(self) -> DataFrame:
         """(nation, segment, Year) sums of line figures."""
-        return (
+        return self._shared(
             self._order_lines.join(self._customers("c_nationkey", "c_mktsegment"), "o_custkey")
             .groupBy("c_nationkey", "c_mktsegment", "Year")
             .agg(*[F.sum(c).alias(c) for c in ("quantity", "returned", "open_quantity")])
@@ -143,7 +170,7 @@ class StarPanel(Mapping[str, DataFrame]):
             F.count_if(status == "O").alias("open"),
         )
         sums = ["total", "urgent", "high", "orders", "finished", "open"]
-        return (
+        return self._shared(
             per_customer.join(self._customers("c_nationkey"), "o_custkey")
             .groupBy(F.col("c_nationkey").alias("Country_ID"), "Year")
             .agg(*[F.sum(c).alias(c) for c in sums], F.count(F.lit(1)).alias("customers"))
@@ -184,14 +211,12 @@ class StarPanel(Mapping[str, DataFrame]):
             .agg(F.sum("amount").alias("amount"))
         )
         suppliers = self.star("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-        reported = ~((F.col("p_type") == "PROMO") & F.col("s_nationkey").isin(NO_PROMO))
         sums = (
             per_supplier.join(suppliers, "l_suppkey")
-            .where(reported)
             .groupBy("s_nationkey", "p_type", "Year")
             .agg(F.sum("amount").alias("amount"))
         )
-        return sums.select(
+        return self._shared(sums).select(
             name_id(F.col("p_type")).alias("Sector_ID_Sector"),
             F.col("s_nationkey").alias("Country_ID_Country"),
             from_cents(F.col("amount")).alias("CO2_Emission"),
@@ -209,7 +234,7 @@ class StarPanel(Mapping[str, DataFrame]):
 
     def _environmental(self) -> DataFrame:
         return (
-            self["Sector_Country"]
+            StarPanel.__getitem__(self, "Sector_Country")
             .groupBy(F.col("Country_ID_Country").alias("Country_ID"), "Year")
             .agg(F.sum("CO2_Emission").cast("decimal(20,2)").alias("total"))
             .select(

@@ -8,7 +8,7 @@ from panelwright.catalog.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
 PYTHON_ALLOWED = {"load_sector_country", "load_sector_country_gaps", "accent_fold_lookup", "unmatched_names"}
-WRITES = {"store_upsert", "csv_round_trip", "report_with_preamble"}
+WRITES = {"store_upsert", "append_bridge", "csv_round_trip", "report_with_preamble"}
 
 
 def planned(df):
@@ -42,6 +42,58 @@ def test_fan_out_question_has_no_many_to_many_join(spark):
     assert "power_rows" in plan and "sector_rows" in plan
 
 
+class Reads:
+    """Scans of star tables in every plan that ran or is planned while it listens."""
+
+    def __init__(self, spark):
+        self.spark, self.staged = spark, []
+
+    def __enter__(self):
+        from pyspark.sql import DataFrameWriter
+
+        self.write = DataFrameWriter.parquet
+
+        def parquet(writer, *args, **kw):
+            self.staged.append(writer._df._jdf.queryExecution().executedPlan().toString())
+            return self.write(writer, *args, **kw)
+
+        DataFrameWriter.parquet = parquet
+        return self
+
+    def __exit__(self, *_):
+        from pyspark.sql import DataFrameWriter
+
+        DataFrameWriter.parquet = self.write
+
+    def count(self, df, table):
+        plans = [*self.staged, planned(df)]
+        return sum(p.split("(1)")[0].count(f"/{table}.parquet") for p in plans)
+
+
+@pytest.mark.parametrize(
+    ("name", "most"),
+    [("q4_yearly_leaders", 2), ("q5_development_panel", 2), ("q6_renewable_split", 1), ("load_sector_country", 1), ("audit_panel", 1)],
+)
+def test_lines_are_read_once_for_each_base(spark, name, most):
+    with Reads(spark) as reads:
+        df = all_queries()[name](spark, SF)
+        assert reads.count(df, "lineitem") <= most
+
+
+@pytest.mark.parametrize("name", ["q1_top_sector_share", "q6_renewable_split"])
+def test_years_reach_the_scan_of_orders(spark, name):
+    with Reads(spark) as reads:
+        df = all_queries()[name](spark, SF)
+        assert any("GreaterThanOrEqual(o_orderdate" in p for p in [*reads.staged, planned(df)])
+
+
+@pytest.mark.parametrize("name", ["stored_q1", "stored_q6"])
+def test_stored_questions_prune_years(spark, name):
+    plan = planned(all_queries()[name](spark, SF))
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert any("Year" in line.split("PartitionFilters")[1].split("]")[0] for line in filters)
+
+
 @pytest.fixture
 def no_broadcast(spark):
     settings = {
