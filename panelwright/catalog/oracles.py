@@ -595,7 +595,8 @@ SELECT *, returned * 8 / nullif(taxed, 0) AS per_taxed FROM sums""",
 ids AS (SELECT {_FOLD.format('word')} AS key, max(md5(word)) AS id FROM dim GROUP BY ALL)
 SELECT id, count(*) AS hits FROM doc_words JOIN ids ON key = {_FOLD.format('doc_words.word')} GROUP BY ALL""",
     "unmatched_names": f"""{_WORDS}
-SELECT DISTINCT word FROM doc_words WHERE {_FOLD.format('word')} NOT IN (SELECT {_FOLD.format('word')} FROM dim)""",
+SELECT DISTINCT word FROM doc_words WHERE {_FOLD.format('word')} NOT IN (SELECT {_FOLD.format('word')} FROM dim)
+ORDER BY word""",
     "upsert_replace": f"""{_FIGURES}
 SELECT o_custkey, "Year", {_upsert('urgent')}, {_upsert('high')} FROM old FULL JOIN new USING (o_custkey, "Year")""",
     "upsert_keep_old": f"""{_FIGURES}
