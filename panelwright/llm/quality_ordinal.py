@@ -1,6 +1,6 @@
 """Quality classifier: ordinal cumulative-link regression (operator 2).
 
-Ratings are grades in order: 0 poor, 1 well formed but toxic, 2 good. One weight per hashed
+Ratings are grades in order: 0 toxic, 1 poor, 2 good. One weight per hashed
 feature is shared by all grades, and ordered thresholds cut the score:
 P(grade <= k) = sigmoid(threshold_k - score). From it come the expected grade and the tail
 probability P(grade >= 2), by which documents are selected.
@@ -39,7 +39,7 @@ SAMPLE = 12_000  # labelled rows used to fit
 SAMPLE_BYTES = 40_000  # a labelled text may have; longer ones are passed over in fitting only
 COMMON = 0.004  # share of the labelled texts that a feature must be in
 TELLING = 4.0  # standard errors between its shares above and below a grade
-KEEP = 0.3  # tail probability from which a document is kept
+KEEP = 0.2  # tail probability from which a document is kept
 _SHAPE_AT, _STEP_AT = 0, 4096  # shapes and steps have their own ranges; words come after
 _CACHE = 300_000
 _ROWS_AT_ONCE = 256
@@ -174,7 +174,7 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on the sample of labelled rows; features are made on the executors."""
-    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
     rated = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id", grade.alias("grade"))
     rated = rated.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(sample)
     chosen = docs.select("doc_id", "text").join(rated, "doc_id").where(F.length("text") <= SAMPLE_BYTES)
