@@ -46,9 +46,9 @@ _MONEY = "CAST({} AS DECIMAL(12, 2))"
 _PRICE, _QUANTITY = _MONEY.format("l_extendedprice"), _MONEY.format("l_quantity")
 
 def _scaled(amount: str) -> str:
-    """Divided by the panel's factor, four decimals, halves up."""
-    step = ScaledPanel.factor // 100
-    return f"(((2 * CAST(({amount}) * 100 AS HUGEINT) + {step}) // (2 * {step})) / 10000.0)::DECIMAL(20, 4)"
+    """Divided by the panel's factor, two decimals, halves up."""
+    step = ScaledPanel.factor
+    return f"(((2 * CAST(({amount}) * 100 AS HUGEINT) + {step}) // (2 * {step})) / 100.0)::DECIMAL(20, 2)"
 
 
 def _panel(amount: Callable[[str], str] = str) -> str:

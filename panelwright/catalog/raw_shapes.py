@@ -30,14 +30,16 @@ CAPACITY = "Capacity"
 
 
 class ScaledPanel(StarPanel):
-    """The star panel with every amount divided by a stated factor, so that it fits the declared types."""
+    """The star panel with every amount divided by a stated factor, so that it fits the declared types.
 
-    factor = 10_000_000
+    Two decimals are kept, so that sheet values stay exact in binary and both engines round alike."""
+
+    factor = 100_000
 
     def __getitem__(self, name: str) -> DataFrame:
         df = super().__getitem__(name)
         sums = [f.name for f in df.schema if isinstance(f.dataType, DecimalType) and f.name != "Renewable_Energy"]
-        return df.withColumns({c: (F.col(c) / self.factor).cast("decimal(20,4)") for c in sums})
+        return df.withColumns({c: (F.col(c) / self.factor).cast("decimal(20,2)") for c in sums})
 
 
 def known_countries(panel: StarPanel) -> DataFrame:
