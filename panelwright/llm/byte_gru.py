@@ -208,8 +208,10 @@ def predict(net: Network, texts: list[bytes]) -> np.ndarray:
 def train(docs: DataFrame, rows: int = SAMPLE, size: int = SAMPLE_BYTES) -> Network | None:
     """Fit on the first rows by hash of the text among those that may train, whole texts, within both bounds."""
     may = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    may = may.select("text", "lang").where(F.octet_length("text") <= size // 50)
-    got = may.orderBy(F.xxhash64("text"), "text", "lang").limit(rows).collect()
+    may = may.select("text", "lang", F.xxhash64("text").alias("turn")).where(F.octet_length("text") <= size // 50)
+    # hashes alone are ranked first: a few bytes a row reach the driver, not each task's best texts
+    last = may.select("turn").orderBy("turn").limit(rows).agg(F.max("turn")).first()[0]
+    got = may.where(F.col("turn") <= F.lit(last)).orderBy("turn", "text", "lang").limit(rows).collect() if last is not None else []
     texts, langs, held = [], [], 0
     for r in got:
         data = r["text"].encode()
