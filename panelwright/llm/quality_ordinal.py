@@ -35,7 +35,7 @@ from panelwright.llm.common import pieces, raw_texts
 
 GRADES = 3
 WIDTH = 1 << 17
-SAMPLE = 12_000  # labelled rows used to fit
+SAMPLE = 8_000  # labelled rows used to fit
 SAMPLE_BYTES = 40_000  # a labelled text may have; longer ones are passed over in fitting only
 COMMON = 0.004  # share of the labelled texts that a feature must be in
 TELLING = 4.0  # standard errors between its shares above and below a grade
@@ -181,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     got = chosen.select("text", "grade").mapInArrow(_featurise, "grade int, index array<int>, value array<float>").toArrow()
     got = got.combine_chunks()
     grades = np.asarray(got["grade"], np.int64)
-    rows = [(np.asarray(i.values, np.int64), np.asarray(v.values, np.float64)) for i, v in zip(got["index"], got["value"])]
+    rows = [(np.asarray(i.values), np.asarray(v.values)) for i, v in zip(got["index"], got["value"])]  # views, 8 bytes a feature
     order = np.lexsort((np.array([len(i) for i, _ in rows]), np.array([i.sum() for i, _ in rows], np.int64), grades)) if rows else []
     return fit([rows[k] for k in order], grades[order] if len(grades) else grades)
 
