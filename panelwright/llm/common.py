@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,19 +26,21 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, release: bool = True) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors.
 
-    The shuffle files behind the written table are of no more use; a collection on the
-    driver lets Spark's cleaner delete them.
+    The shuffle files behind the written table are of no more use; collections on the driver
+    let Spark's cleaner delete them (a second one finds what the write itself held on to).
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}-{name}"
     df.write.parquet(path)
     schema = df.schema
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2 if release else 0):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -116,7 +119,7 @@ def components(links: DataFrame) -> DataFrame:
     are absent. A hub's rows meet its least neighbour in a plain join, which AQE can split.
     """
     edges = stage(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
+        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links", False
     )
     seen = None
     while True:
@@ -126,7 +129,7 @@ def components(links: DataFrame) -> DataFrame:
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = stage(small.unionByName(low.withColumnRenamed("m", "v")).distinct(), "links")
+        new = stage(small.unionByName(low.withColumnRenamed("m", "v")).distinct(), "links", False)
         state = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         unstage(edges)
         edges = new

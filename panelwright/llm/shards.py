@@ -78,7 +78,11 @@ ANSWER = "shard int, h array<bigint>, a array<bigint>"
 
 
 def question(shard: int, buckets: int, h: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Table:
-    """One row per bucket from a shard's distinct hashes with their numbers."""
+    """One row per bucket from a shard's distinct hashes with two numbers each, b not below a.
+
+    b travels as what it has beyond a, mostly nothing.
+    """
+    b = b - a
     where = (h % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(where, kind="stable")
     cut = np.r_[0, np.cumsum(np.bincount(where, minlength=buckets))].astype(np.int32)
@@ -103,7 +107,8 @@ def answered(asked: DataFrame, judge: Callable[[np.ndarray, np.ndarray, np.ndarr
 
     def run(table: pa.Table) -> pa.Table:
         h, size = _flat(table["h"])
-        a, b = _flat(table["a"])[0], _flat(table["b"])[0]
+        a = _flat(table["a"])[0]
+        b = a + _flat(table["b"])[0]
         shard = np.repeat(np.asarray(table["shard"]), size)
         order = np.argsort(h, kind="stable")
         sorted_h = h[order]
