@@ -12,11 +12,13 @@ strings never cross documents and are judged on the input.
    in every round each string takes in one more symbol from its right end, and the suffix
    this makes is placed among those present by its symbol and the place of the suffix it
    extends. The common-prefix array is updated by range minima of the round before. Symbols
-   are 8-byte words, and a segment enters as eight strings, one for each phase, so a suffix
-   begins at every byte and LENGTH bytes are LENGTH / 8 symbols. The arrays of a round are
-   written front to back into new ones, in sequence; a bucket's bounded size lets
-   them stay in memory. Neighbours with a common prefix of LENGTH / 8 symbols are equal
-   windows; a class that stands for two places or more recurs.
+   are words of SYMBOL bytes, and a segment enters as SYMBOL strings, one for each phase, so a
+   suffix begins at every byte and LENGTH bytes are LENGTH / SYMBOL symbols. Any order of
+   symbols serves: up to 8 bytes they are ordered by their bytes, longer ones by a 64-bit hash
+   (two windows would have to agree but for words that clash). The arrays of a round are
+   written front to back into new ones, in sequence; a bucket's bounded size lets them stay in
+   memory. Neighbours with a common prefix of LENGTH / SYMBOL symbols are equal windows; a
+   class that stands for two places or more recurs.
 4. Shards get back which windows of their segments recur, and remove what they cover.
 
 Nothing is capped. Equal segments count once with a weight, so large groups of copies do not
@@ -40,7 +42,7 @@ from panelwright.llm.shards import QUESTION, answer, answered, look_up, mix, que
 
 LENGTH = 200
 GRAM = 32
-SYMBOL = 8
+SYMBOL = 40  # a divisor of LENGTH: fewer and wider columns for larger ones
 MOST = 128  # windows of a segment; longer runs are cut
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _PART = 1 << 20
@@ -163,6 +165,18 @@ class _Minima:
         return out
 
 
+def _words(raw: np.ndarray, symbol: int) -> np.ndarray:
+    """The word of so many bytes at every place, as a number: its bytes if they fit, else their hash."""
+    n = len(raw) - symbol
+    if symbol > 8:
+        at = np.arange(n)
+        return span_hashes(_TABLE[raw], at, at + symbol)
+    windows = np.lib.stride_tricks.sliding_window_view(raw, symbol)[:n]
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, 8 - symbol :] = windows
+    return wide.view(">u8").ravel().astype(np.uint64)
+
+
 def collection(bodies: list[bytes], length: int = LENGTH, symbol: int = SYMBOL) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted order of the strings' suffixes of at least ``length`` bytes, built column by column.
 
@@ -177,19 +191,17 @@ def collection(bodies: list[bytes], length: int = LENGTH, symbol: int = SYMBOL)
     body = np.repeat(np.arange(len(bodies)), symbol)
     phase = np.tile(np.arange(symbol), len(bodies))
     count = (size[body] - phase) // symbol
-    words = np.lib.stride_tricks.sliding_window_view(raw, symbol)
     n = len(body)
-    rows = np.arange(n)
+    rows = np.arange(n, dtype=np.int32)
     base = starts[body] + phase
-    as_number = np.ascontiguousarray(words[: len(raw) - symbol]).view(f">u{symbol}").ravel().astype(np.uint64)
-    _, ranks = np.unique(as_number, return_inverse=True)
-    ranks = ranks.astype(np.int64)
+    _, ranks = np.unique(_words(raw, symbol), return_inverse=True)
+    ranks = ranks.astype(np.int32)
 
     # the list so far: first symbol, place of the tail, common prefix, string, symbols
-    first = np.full(n, -1, np.int64)
+    first = np.full(n, -1, np.int32)
     tail = rows.copy()
     shared = np.zeros(n, np.uint8)
-    owner, symbols = rows.copy(), np.zeros(n, np.int32)
+    owner, symbols = rows.copy(), np.zeros(n, np.uint8 if symbol * 255 >= max(size, default=0) else np.int32)
     place = rows.copy()  # of each string's longest suffix
     for k in range(1, int(count.max(initial=0)) + 1):
         on = np.flatnonzero(count >= k)
@@ -198,10 +210,10 @@ def collection(bodies: list[bytes], length: int = LENGTH, symbol: int = SYMBOL)
         order = np.lexsort((pos, c))
         on, c, pos = on[order], c[order], pos[order]
         total = len(first)
-        old_key = first * (total + 1) + tail
-        at = np.searchsorted(old_key, c * (total + 1) + pos)
-        new_place = at + np.arange(len(on))
-        moved = np.arange(total) + np.cumsum(np.bincount(at, minlength=total + 1))[:total]
+        old_key = (first.astype(np.int64) << 32) | tail
+        at = np.searchsorted(old_key, (c.astype(np.int64) << 32) | pos)
+        new_place = (at + np.arange(len(on))).astype(np.int32)
+        moved = (np.arange(total) + np.cumsum(np.bincount(at, minlength=total + 1))[:total]).astype(np.int32)
 
         def merged(old: np.ndarray, new: np.ndarray | int) -> np.ndarray:
             out = np.empty(total + len(on), old.dtype)
@@ -223,7 +235,7 @@ def collection(bodies: list[bytes], length: int = LENGTH, symbol: int = SYMBOL)
             least = _Minima(shared_before, int((high - low).max())).ask(low, high)
             shared[check[same]] = np.minimum(least.astype(np.int64) + 1, full)
         shared[0] = 0
-        tail = np.r_[moved, 0][np.minimum(tail_before, total)] if total else tail_before
+        tail = moved[tail_before]
         owner, symbols = merged(owner, on), merged(symbols, k)
         place[on] = new_place
         others = np.flatnonzero(count < k)

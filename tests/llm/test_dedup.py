@@ -221,7 +221,7 @@ def test_collection_is_the_sorted_order_of_suffixes():
     rng = np.random.default_rng(4)
     part = rng.integers(97, 99, 60, dtype=np.uint8).tobytes()
     bodies = [part + rng.integers(97, 99, rng.integers(20, 90), dtype=np.uint8).tobytes() for _ in range(12)]
-    body, start, shared = column_bwt.collection(bodies, length=24)
+    body, start, shared = column_bwt.collection(bodies, length=24, symbol=8)
     found = [bodies[b][s:] for b, s in zip(body, start)]
     assert len(found) == sum(len(b) - 23 for b in bodies)
     heads = [f[:24] for f in found]
@@ -229,6 +229,20 @@ def test_collection_is_the_sorted_order_of_suffixes():
     assert [a == b for a, b in zip(heads, heads[1:])] == [x >= 3 for x in shared[1:].tolist()]
 
 
+@pytest.mark.parametrize("symbol", [4, 8, 20, 40])
+def test_any_width_of_symbols_finds_the_same_windows(symbol, monkeypatch):
+    monkeypatch.setattr(column_bwt, "SYMBOL", symbol)
+    monkeypatch.setattr(column_bwt.collection, "__defaults__", (200, symbol))
+    rng = np.random.default_rng(9)
+    part = rng.integers(97, 123, 260, dtype=np.uint8).tobytes()
+    bodies = [part, part[:205] + b"x" * 30, b"y" * 7 + part[30:], b"z" * 240, rng.integers(97, 123, 230, dtype=np.uint8).tobytes()]
+    times = np.array([1, 1, 1, 1, 2])
+    seen = Counter(b[k : k + 200] for b, n in zip(bodies, times) for k in range(len(b) - 199) for _ in range(n))
+    want = {(i, k) for i, b in enumerate(bodies) for k in range(len(b) - 199) if seen[b[k : k + 200]] > 1}
+    body, start = column_bwt.recurring_windows(bodies, times)
+    assert set(zip(body.tolist(), start.tolist())) == want and len(body) == len(want)
+
+
 # operator 7
 
 
