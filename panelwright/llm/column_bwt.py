@@ -7,7 +7,11 @@ strings never cross documents and are judged on the input.
    strings in it. Equal windows have equal anchors, so only windows whose anchor value occurs
    twice or more in the corpus can recur. About one byte in 85 is an anchor.
 2. Segments. A shard cuts its documents into runs of windows of one anchor; those of recurring
-   anchors go to the anchor's bucket, equal ones of a shard once with their number.
+   anchors go to the anchor's bucket, equal ones of a shard once with their number. An anchor
+   with more than ``HOT`` different segments (a common line in different surroundings) would
+   fill one bucket; its windows go out one by one instead, each as two independent 64-bit
+   hashes of its LENGTH bytes, to the bucket of the first. Equal windows have equal anchors
+   and equal hashes, so they meet all the same, and the group spreads over all buckets.
 3. Collections. A bucket builds the Burrows-Wheeler order of its segments column by column:
    in every round each string takes in one more symbol from its right end, and the suffix
    this makes is placed among those present by its symbol and the place of the suffix it
@@ -18,11 +22,11 @@ strings never cross documents and are judged on the input.
    (two windows would have to agree but for words that clash). The arrays of a round are
    written front to back into new ones, in sequence; a bucket's bounded size lets them stay in
    memory. Neighbours with a common prefix of LENGTH / SYMBOL symbols are equal windows; a
-   class that stands for two places or more recurs.
+   class that stands for two places or more recurs. So does a pair of hashes counted twice.
 4. Shards get back which windows of their segments recur, and remove what they cover.
 
 Nothing is capped. Equal segments count once with a weight, so large groups of copies do not
-enlarge a bucket; different segments around one anchor share a bucket.
+enlarge a bucket; different segments around one anchor share a bucket up to HOT of them.
 
 Defined results: a null text counts as empty. Repeated rows are repeats of one another. Null
 ids are ids like any other here. An empty table gives no rows; other columns are ignored.
@@ -36,15 +40,18 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from panelwright.llm.common import stage, unstage
-from panelwright.llm.shards import QUESTION, answer, answered, look_up, mix, question, sharded, sliding, span_hashes
+from panelwright.llm.shards import _ODD, QUESTION, answer, answered, flat, look_up, mix, question, sharded, sliding, span_hashes
 
 LENGTH = 200
 GRAM = 32
 SYMBOL = 40  # a divisor of LENGTH: fewer and wider columns for larger ones
 MOST = 128  # windows of a segment; longer runs are cut
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+HOT = 4096  # different segments of an anchor (1.3 MB), counted by shard; windows of hotter ones are spread
+_SECOND = 0xC2B2AE3D27D4EB4F  # base of the second hash of a window
 _PART = 1 << 20
 
 
@@ -86,6 +93,23 @@ class Bytes:
         heads = np.flatnonzero(new | (run % most == 0))
         return at[heads], at[np.r_[heads[1:], len(at)] - 1] + 1
 
+    def hashes(self, starts: np.ndarray, ends: np.ndarray, base: int = _ODD) -> np.ndarray:
+        return span_hashes(_TABLE[np.frombuffer(self.data, np.uint8)], starts, ends, base)
+
+
+def _windows(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Every window of the runs first:last."""
+    size = last - first
+    return np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+def _pairs(h: np.ndarray, g: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs (h, g), sorted, and the sum of their times."""
+    order = np.lexsort((g, h))
+    h, g, times = h[order], g[order], times[order]
+    heads = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])]) if len(h) else order
+    return h[heads], g[heads], np.add.reduceat(times, heads) if len(h) else times
+
 
 def _parts(table: pa.Table, length: int, gram: int):
     texts = table["text"].cast(pa.binary()).to_pylist()
@@ -99,44 +123,68 @@ def _parts(table: pa.Table, length: int, gram: int):
         at = end
 
 
-def _ask_anchors(length: int, gram: int, buckets: int):
+def _ask_anchors(length: int, gram: int, most: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
-        found = [part.anchors() for _, _, part in _parts(table, length, gram)]
+        found, values, bodies = [], [], []
+        for _, _, part in _parts(table, length, gram):
+            first, last = part.segments(most)
+            found.append(part.anchors()), values.append(part.least[first]), bodies.append(part.hashes(first, last + length - 1))
         h, n = np.unique(np.concatenate(found), return_counts=True)
-        return question(table["shard"][0].as_py(), buckets, h, n, n)
+        value, body = np.concatenate(values), np.concatenate(bodies)
+        value = _pairs(value, body, np.ones(len(value), np.int64))[0]
+        # b - a: different segments in this shard beyond the first, mostly none
+        return question(table["shard"][0].as_py(), buckets, h, n, n + np.bincount(np.searchsorted(h, value), minlength=len(h)) - 1)
 
     return run
 
 
 def _twice(a: np.ndarray, b: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether anchors are there twice, and their different segments, those of each shard counted alone."""
     if not len(heads):
         return np.zeros(0, bool), a
-    n = np.add.reduceat(a, heads)
-    return n >= 2, n
+    return np.add.reduceat(a, heads) >= 2, np.add.reduceat(b - a + 1, heads)
 
 
-_SEGMENTS = "bucket int, shard int, bodies array<binary>, times array<bigint>"
+_SEGMENTS = "bucket int, shard int, bodies array<binary>, times array<bigint>, h array<bigint>, g array<bigint>, n array<bigint>"
 
 
-def _ask_segments(length: int, gram: int, most: int, buckets: int):
+def _ask_segments(length: int, gram: int, most: int, buckets: int, hot: int = HOT):
     def run(table: pa.Table, recurring: pa.Table) -> pa.Table:
-        known, _ = answer(recurring)
+        known, different = answer(recurring)
         bodies: list[dict[bytes, int]] = [{} for _ in range(buckets)]
+        prints: list[tuple[np.ndarray, np.ndarray]] = [(known[:0], known[:0])]
         for _, _, part in _parts(table, length, gram) if table.num_rows else ():
             first, last = part.segments(most)
             value = part.least[first]
-            some = look_up(value, known) >= 0
+            place = look_up(value, known)
+            some = place >= 0
+            if some.any():
+                spread = some & (different[place] > hot)
+                some &= ~spread
+                if spread.any():
+                    at = _windows(first[spread], last[spread])
+                    prints.append((part.hashes(at, at + length), part.hashes(at, at + length, _SECOND)))
             data = part.data
             for s, e, b in zip(first[some].tolist(), last[some].tolist(), (value[some] % np.uint64(buckets)).tolist()):
                 body, held = data[s : e + length - 1], bodies[b]
                 held[body] = held.get(body, 0) + 1
-        full = [b for b in range(buckets) if bodies[b]]
+        h, g = (np.concatenate(x) for x in zip(*prints))
+        h, g, n = _pairs(h, g, np.ones(len(h), np.int64))
+        where = (h % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(where, kind="stable")
+        cut = np.r_[0, np.cumsum(np.bincount(where, minlength=buckets))]
+        full = [b for b in range(buckets) if bodies[b] or cut[b] < cut[b + 1]]
+        spread = {
+            name: pa.array([x[order[cut[b] : cut[b + 1]]] for b in full], pa.list_(pa.int64()))
+            for name, x in (("h", h.view(np.int64)), ("g", g.view(np.int64)), ("n", n))
+        }
         return pa.table(
             {
                 "bucket": pa.array(full, pa.int32()),
                 "shard": pa.array([table["shard"][0].as_py()] * len(full) if full else [], pa.int32()),
                 "bodies": pa.array([list(bodies[b]) for b in full], pa.list_(pa.binary())),
                 "times": pa.array([list(bodies[b].values()) for b in full], pa.list_(pa.int64())),
+                **spread,
             }
         )
 
@@ -257,7 +305,23 @@ def recurring_windows(bodies: list[bytes], times: np.ndarray, length: int = LENG
     return body[keep], start[keep]
 
 
-_RANGES = "shard int, ids array<bigint>, lows array<int>, highs array<int>"
+_RANGES = "shard int, ids array<bigint>, lows array<int>, highs array<int>, h array<bigint>, g array<bigint>"
+
+
+def _recurring_prints(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each shard its spread windows (two hashes) that stand for two places or more in all shards."""
+    (h, size), (g, _), (n, _) = (flat(table[c]) for c in ("h", "g", "n"))
+    if not len(h):
+        return {}
+    shard = np.repeat(np.asarray(table["shard"]), size)
+    order = np.lexsort((g, h))
+    h, g, n, shard = h[order], g[order], n[order], shard[order]
+    heads = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])])
+    keep = np.repeat(np.add.reduceat(n, heads) >= 2, np.diff(np.r_[heads, len(h)]))
+    h, g, shard = h[keep], g[keep], shard[keep]
+    order = np.argsort(shard, kind="stable")
+    shards, cut = np.unique(shard[order], return_index=True)
+    return {s: (h[on], g[on]) for s, on in zip(shards.tolist(), np.split(order, cut[1:]))}
 
 
 def _judge(length: int):
@@ -280,28 +344,49 @@ def _judge(length: int):
         of, low = body[heads], start[heads]
         high = start[np.r_[heads[1:], len(body)] - 1] + length if len(body) else low
         ids = np.array([xxhash.xxh3_64_intdigest(b) for b in bodies], np.uint64).view(np.int64)
-        shards, columns = sorted(held), ([], [], [])
+        prints, none = _recurring_prints(table), np.zeros(0, np.int64)
+        shards, columns = sorted({*held, *prints}), ([], [], [], [], [])
         for shard in shards:
-            on = np.isin(of, np.array(sorted(held[shard])))
-            for column, x in zip(columns, (ids[of[on]], low[on], high[on])):
+            on = np.isin(of, np.array(sorted(held.get(shard, ())), np.int64))
+            for column, x in zip(columns, (ids[of[on]], low[on], high[on], *prints.get(shard, (none, none)))):
                 column.append(x)
-        lists = [pa.array(c, pa.list_(t)) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32()))]
-        return pa.table({"shard": pa.array(shards, pa.int32()), "ids": lists[0], "lows": lists[1], "highs": lists[2]})
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+        lists = {name: pa.array(c, pa.list_(t)) for name, c, t in zip(("ids", "lows", "highs", "h", "g"), columns, kinds)}
+        return pa.table({"shard": pa.array(shards, pa.int32()), **lists})
 
     return run
 
 
+def _among(h: np.ndarray, g: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    """Which pairs (h, g) are rows of the sorted prints."""
+    low, high = (np.searchsorted(prints[:, 0], h, side) for side in ("left", "right"))
+    found = np.zeros(len(h), bool)
+    for k in range(int((high - low).max(initial=0))):  # one round, but where first hashes clash
+        on = np.flatnonzero(low + k < high)
+        found[on] |= prints[low[on] + k, 1] == g[on]
+    return found
+
+
 def _remove(length: int, gram: int, most: int, id_type: pa.DataType, texts: bool):
     def run(table: pa.Table, ranges: pa.Table) -> pa.Table:
         marked: dict[int, list[tuple[int, int]]] = {}
         for ids, lows, highs in zip(*(ranges[c].to_pylist() for c in ("ids", "lows", "highs"))):
-            for i, a, b in zip(ids, lows, highs):
+            for i, a, b in zip(ids or (), lows or (), highs or ()):
                 marked.setdefault(i, []).append((a, b))
+        h, g, hot = (flat(ranges[c])[0].view(np.uint64) if ranges.num_rows else np.zeros(0, np.uint64) for c in ("h", "g", "hot"))
+        prints, hot = np.array([h, g]).T, np.unique(hot)
+        prints = prints[np.lexsort((prints[:, 1], prints[:, 0]))]
         doc_ids, out = table["doc_id"].to_pylist(), []
         for at, own, part in _parts(table, length, gram):
             change = np.zeros(len(part.data) + 1, np.int64)
+            first, last = part.segments(most) if marked or len(prints) else (None, None)
+            if len(prints):
+                spread = look_up(part.least[first], hot) >= 0
+                w = _windows(first[spread], last[spread])
+                w = w[_among(part.hashes(w, w + length), part.hashes(w, w + length, _SECOND), prints)]
+                np.add.at(change, w, 1)
+                np.subtract.at(change, w + length, 1)
             if marked:
-                first, last = part.segments(most)
                 data, starts, stops = part.data, [], []
                 for s, e in zip(first.tolist(), last.tolist()):
                     h = xxhash.xxh3_64_intdigest(data[s : e + length - 1])
@@ -328,16 +413,19 @@ def _remove(length: int, gram: int, most: int, id_type: pa.DataType, texts: bool
     return run
 
 
-def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST, texts: bool = False) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST, texts: bool = False, hot: int = HOT) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes if wanted."""
     if length % SYMBOL:
         raise ValueError(f"length must be a multiple of {SYMBOL}")
     rows, n = sharded(docs)
     shards = rows.groupBy("shard")
-    anchors = stage(answered(shards.applyInArrow(_ask_anchors(length, gram, n), QUESTION), _twice), "anchors")
-    asked = shards.cogroup(anchors.groupBy("shard")).applyInArrow(_ask_segments(length, gram, most, n), _SEGMENTS)
+    anchors = stage(answered(shards.applyInArrow(_ask_anchors(length, gram, most, n), QUESTION), _twice), "anchors")
+    asked = shards.cogroup(anchors.groupBy("shard")).applyInArrow(_ask_segments(length, gram, most, n, hot), _SEGMENTS)
     ranges = stage(asked.groupBy("bucket").applyInArrow(_judge(length), _RANGES), "ranges")
+    hottest = F.transform(F.filter(F.arrays_zip("h", "a"), lambda x: x["a"] > hot), lambda x: x["h"])
+    hottest = stage(anchors.select("shard", hottest.alias("hot")).where(F.size("hot") > 0), "hot", False)
     unstage(anchors)
+    ranges = ranges.unionByName(hottest, allowMissingColumns=True)
     kind = docs.schema["doc_id"].dataType.simpleString()
     id_type = {"int": pa.int32(), "bigint": pa.int64(), "smallint": pa.int16()}[kind]
     schema = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if texts else "")

@@ -92,7 +92,7 @@ def question(shard: int, buckets: int, h: np.ndarray, a: np.ndarray, b: np.ndarr
     return table.take(pa.array(full))
 
 
-def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+def flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     joined = column.combine_chunks()
     joined = joined if isinstance(joined, pa.Array) else pa.concat_arrays(joined.chunks)
     return np.asarray(joined.flatten()), np.asarray(pc.list_value_length(joined))
@@ -106,9 +106,9 @@ def answered(asked: DataFrame, judge: Callable[[np.ndarray, np.ndarray, np.ndarr
     """
 
     def run(table: pa.Table) -> pa.Table:
-        h, size = _flat(table["h"])
-        a = _flat(table["a"])[0]
-        b = a + _flat(table["b"])[0]
+        h, size = flat(table["h"])
+        a = flat(table["a"])[0]
+        b = a + flat(table["b"])[0]
         shard = np.repeat(np.asarray(table["shard"]), size)
         order = np.argsort(h, kind="stable")
         sorted_h = h[order]
@@ -136,7 +136,7 @@ def answer(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """A shard's passing hashes, sorted, with their numbers."""
     if not table.num_rows:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h, a = _flat(table["h"])[0].view(np.uint64), _flat(table["a"])[0]
+    h, a = flat(table["h"])[0].view(np.uint64), flat(table["a"])[0]
     order = np.argsort(h)
     return h[order], a[order]
 

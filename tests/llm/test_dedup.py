@@ -6,6 +6,7 @@ import struct
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -217,6 +218,33 @@ def test_repeated_bytes_of_periodic_and_shared_texts(spark):
     assert got(column_bwt.remove_repeated_bytes(messy(spark, rows))) == bytes_by_hand(rows)
 
 
+def lines_in_other_surroundings(line, n=120):
+    rng = np.random.default_rng(6)
+    word = lambda k: "".join(map(chr, rng.integers(97, 123, k)))
+    rows = [(i, word(260) + line + word(240)) for i in range(n)]
+    return rows + [(n + i, "head" + rows[i][1][100 + i : -i]) for i in range(1, 9)]
+
+
+@pytest.mark.parametrize("size", [40, 130, 199])
+def test_repeated_bytes_around_a_hot_anchor(spark, size):
+    rows = lines_in_other_surroundings("".join(chr(97 + (k * k + 5 * k) % 23) for k in range(size)))
+    found = column_bwt.remove_repeated_bytes(messy(spark, rows), hot=16)
+    assert got(found) == bytes_by_hand(rows) and sum(r.n_removed for r in found.collect()) > 1000
+    assert got(column_bwt.remove_repeated_bytes(messy(spark, messy_rows()), hot=0)) == bytes_by_hand(messy_rows())
+
+
+def test_a_hot_anchor_fills_no_bucket():
+    texts = [t for _, t in lines_in_other_surroundings("".join(chr(97 + (k * k + 5 * k) % 23) for k in range(190)))]
+    docs = pa.table({"doc_id": range(len(texts)), "text": texts, "shard": pa.array([0] * len(texts), pa.int32())})
+    anchors = np.concatenate([part.anchors() for _, _, part in column_bwt._parts(docs, 200, 32)])
+    values, times = np.unique(anchors, return_counts=True)
+    hot = values[times > 60].view(np.int64)
+    recurring = pa.table({"shard": pa.array([0], pa.int32()), "h": [hot], "a": [np.full(len(hot), 1_000_000)]})
+    asked = column_bwt._ask_segments(200, 32, 128, 16)(docs, recurring).to_pylist()
+    held = [sum(map(len, r["bodies"])) + 24 * len(r.get("h", ())) for r in asked]
+    assert len(hot) and len(held) == 16 and max(held) < 1.3 * sum(held) / 16
+
+
 def test_collection_is_the_sorted_order_of_suffixes():
     rng = np.random.default_rng(4)
     part = rng.integers(97, 99, 60, dtype=np.uint8).tobytes()
