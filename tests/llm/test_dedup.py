@@ -317,6 +317,32 @@ def test_linked_vectors(spark, size):
     assert got(metric_join.linked_vectors(vectors(spark, rows), **size)) == links_by_hand(rows)
 
 
+def scaled_copies(kind, n=60):
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal(64)
+    return [(base * x).astype(kind) for x in rng.uniform(0.1, 9, n)]
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+def test_parallel_pivots_lose_no_partner(kind):
+    vecs = [v.astype(np.float64).tobytes() for v in scaled_copies(kind)]
+    radius = float(np.sqrt(2 - 2 * metric_join.THRESHOLD))
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * len(vecs)), pa.array(vecs, pa.binary())], ["label", "vec"])
+    lost = 0
+    for k in range(0, 60, 6):
+        placed = next(metric_join._places([(1, v) for v in vecs[k : k + 6]], radius)(iter([batch])))["places"].to_pylist()
+        cells = [{p["cell"] for p in places} for places in placed]
+        lost += sum(p["cell"] not in c for places in placed for p in places if p["home"] for c in cells)
+    assert lost == 0
+
+
+def test_links_of_scaled_copies(spark):
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(scaled_copies(np.float64))]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    found = metric_join.linked_vectors(docs, cell=5, most=12, width=20).collect()
+    assert {tuple(r)[1:3] for r in found} == {(59, 0)} and len(found) == 60
+
+
 # shared
 
 
