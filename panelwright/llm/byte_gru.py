@@ -3,7 +3,8 @@
 Two gated recurrent layers of a few units read the bytes of a text, one from the front, one
 from the back; at every position both states give log probabilities of the languages. A
 document's probabilities pool those of all its positions. The network is trained in numpy by
-backpropagation through time on a bounded sample of rows whose language is known.
+backpropagation through time on a bounded sample of different texts whose language is known,
+shared out evenly among the languages; its size does not grow with the corpus.
 
 A text is read in runs of ``RUN`` bytes, each with fresh states, so that runs of many
 documents advance together as one matrix; every byte of every text is read and labelled.
@@ -18,20 +19,22 @@ text is ``und``. Language, source and id are never inputs. An empty table gives
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import pieces, raw_texts
+from panelwright.llm.common import pieces, raw_texts, stage, unstage
 
 UNITS = 6  # of each direction
 RUN = 64
-SAMPLE = 2000  # rows to learn from, at most
-SAMPLE_BYTES = 5 << 18  # and bytes of their texts, at most
+SAMPLE = 2000  # texts to learn from, at most (but one of each language)
+SAMPLE_BYTES = 5 << 18  # and bytes of them, at most
+LONGEST = SAMPLE_BYTES // 50  # bytes of one text, at most; longer ones enter with their front
 PASSES = 4
 UNKNOWN = "und"
 _WIDE = 2048  # runs that advance together
@@ -205,20 +208,49 @@ def predict(net: Network, texts: list[bytes]) -> np.ndarray:
     return pooled / pooled.sum(axis=1, keepdims=True)
 
 
-def train(docs: DataFrame, rows: int = SAMPLE, size: int = SAMPLE_BYTES) -> Network | None:
-    """Fit on the first rows by hash of the text among those that may train, whole texts, within both bounds."""
-    may = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    may = may.select("text", "lang", F.xxhash64("text").alias("turn")).where(F.octet_length("text") <= size // 50)
-    # hashes alone are ranked first: a few bytes a row reach the driver, not each task's best texts
-    last = may.select("turn").orderBy("turn").limit(rows).agg(F.max("turn")).first()[0]
-    got = may.where(F.col("turn") <= F.lit(last)).orderBy("turn", "text", "lang").limit(rows).collect() if last is not None else []
-    texts, langs, held = [], [], 0
-    for r in got:
-        data = r["text"].encode()
-        if held + len(data) > size:
+def _level(there: list[int], most: int) -> int:
+    """The largest share for all of which the sum of min(there, share) stays within most; 1 at least."""
+    left, share = most, max(there, default=0)
+    for k, n in enumerate(sorted(there)):
+        if n * (len(there) - k) > left:
+            share = left // (len(there) - k)
             break
-        held += len(data)
-        texts.append(data), langs.append(r["lang"])
+        left -= n
+    return max(1, share)
+
+
+def train(docs: DataFrame, rows: int = SAMPLE, size: int = SAMPLE_BYTES, longest: int = LONGEST) -> Network | None:
+    """Fit on different texts among those that may train: in each language the first by hash.
+
+    Languages get equal shares of both bounds, and what small ones leave over goes to the
+    others, so none is missing. A text counts with its first ``longest`` bytes; the last one
+    of a share is cut to what is left of it.
+    """
+    may = docs.where(~held_out() & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
+    front = F.substring(F.col("text").cast("binary"), 1, longest)
+    may = may.select("lang", front.alias("front"), F.xxhash64("text").alias("turn"))
+    # hashes alone are ranked: a few bytes for each different text, copies are one
+    different = stage(may.groupBy("lang", "turn").agg(F.max(F.octet_length("front")).alias("n")), "turns", False)
+    there = different.groupBy("lang").agg(F.count("*").alias("rows")).collect()
+    of_rows = _level([r["rows"] for r in there], rows)
+    by_turn = Window.partitionBy("lang").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
+    first = different.withColumn("nth", F.row_number().over(by_turn)).where(F.col("nth") <= of_rows)
+    picked = first.select("lang", "turn", "n").collect()
+    unstage(different)
+    whole = Counter()
+    for r in picked:
+        whole[r["lang"]] += r["n"]
+    of_bytes, held, take = _level(list(whole.values()), size), Counter(), {}
+    for lang, turn, n in sorted(map(tuple, picked)):
+        if held[lang] < of_bytes:
+            take[lang, turn] = min(n, of_bytes - held[lang])
+            held[lang] += n
+    texts, langs = [], []
+    if take:
+        chosen = may.where(F.col("turn").isin(sorted({turn for _, turn in take}))).groupBy("lang", "turn").agg(F.min("front").alias("front"))
+        for lang, turn, data in sorted((r["lang"], r["turn"], bytes(r["front"])) for r in chosen.collect()):
+            if (lang, turn) in take:
+                texts.append(data[: take[lang, turn]]), langs.append(lang)
     return learn(texts, langs)
 
 

@@ -107,6 +107,23 @@ def test_held_out_languages(spark):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+def test_sample_holds_every_language_and_no_copies(spark, monkeypatch):
+    rows = [(i, "the same long text again " * 200, "en") for i in range(400)]
+    rows += [(1000 + i, f"english text number {i} " * 90, "en") for i in range(900)]
+    rows += [(3000 + i, f"texte rare {i} " * 20, "fr") for i in range(5)] + [(4000 + i, "lang " * 9000, "de") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    seen = {}
+    monkeypatch.setattr(byte_gru, "learn", lambda texts, langs: seen.update(texts=texts, langs=langs))
+    byte_gru.train(docs)
+    may = {t for i, t, lang in rows if lang == "fr" and zlib.crc32(str(i).encode()) % 5}
+    assert Counter(seen["langs"])["fr"] == len(may) and Counter(seen["langs"])["de"] == 1
+    assert len(set(seen["texts"])) == len(seen["texts"]) <= byte_gru.SAMPLE
+    assert 0.95 * byte_gru.SAMPLE_BYTES < sum(map(len, seen["texts"])) <= byte_gru.SAMPLE_BYTES
+    byte_gru.train(docs, rows=6, size=900, longest=100)
+    assert Counter(seen["langs"]).keys() == {"en", "fr", "de"} and len(seen["texts"]) <= 6
+    assert sum(map(len, seen["texts"])) <= 900 and max(map(len, seen["texts"])) <= 100
+
+
 def test_languages_of_messy_rows(spark):
     found = byte_gru.identify(messy(spark)).collect()
     texts = defaultdict(set)
