@@ -12,6 +12,7 @@ from panelwright.llm import (
     byte_gru,
     column_bwt,
     exact_dedup,
+    factor_machine,
     metric_join,
     phrase_automata,
     pii_votes,
@@ -70,6 +71,10 @@ def op10_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_votes.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_factor_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factor_machine.rate_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
