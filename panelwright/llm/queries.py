@@ -13,6 +13,7 @@ from panelwright.llm import (
     column_bwt,
     exact_dedup,
     factor_machine,
+    merkle_rollup,
     metric_join,
     phrase_automata,
     pii_votes,
@@ -75,6 +76,10 @@ def op11_factor_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return factor_machine.rate_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_merkle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_rollup.manifest(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
@@ -139,8 +144,72 @@ FROM v JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a =
 """
 
 
+def _merkle_sql(levels: int = 12) -> str:
+    """The manifest of documents and languages by plain levels, for up to 8 ** levels of each.
+
+    ``tree`` and ``i`` place a node; a tree of one node has reached its top and is carried on.
+    """
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def leaf(text: str) -> str:
+        fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+    def climb(name: str, bottom: str) -> list[str]:
+        out = [f"{name}0 AS (SELECT tree, i, h, count(*) OVER (PARTITION BY tree) AS n FROM ({bottom}))"]
+        for k in range(levels):
+            out.append(
+                f"{name}{k + 1} AS (SELECT tree, i // 8 AS i, CASE WHEN n = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h,"
+                f" (n + 7) // 8 AS n FROM {name}{k} GROUP BY tree, i // 8, n)"
+            )
+        return out
+
+    def around(name: str, k: int, side: str) -> str:
+        lo, hi = ("(r.i // 8 * 8)", "r.i") if side == "l" else ("(r.i + 1)", "(r.i // 8 * 8 + 8)")
+        return f"(SELECT coalesce(string_agg(h, '' ORDER BY i), '') FROM {name}{k} s WHERE s.tree = r.tree AND s.i >= {lo} AND s.i < {hi})"
+
+    parts = climb("d", "SELECT tree, i, leaf AS h FROM ranked") + [
+        f"tops AS (SELECT tree AS lang, 0 AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, h FROM d{levels})",
+        *climb("t", "SELECT tree, i, h FROM tops"),
+    ]
+    steps, last = [], "start"
+    for j, name in enumerate(("d", "t")):
+        if j:
+            steps.append(
+                f"crossed AS (SELECT c.doc_id, c.leaf, c.h AS h, c.proof, p.h AS subroot, p.tree, p.i FROM {last} c JOIN tops p ON p.lang = c.tree)"
+            )
+            last = "crossed"
+        keep = "doc_id, leaf, proof, h" + (", subroot" if j else "")
+        for k in range(levels):
+            steps.append(
+                f"{name}f{k} AS (SELECT {keep.replace('proof', 'CASE WHEN n = 1 THEN proof ELSE proof || l || r END AS proof').replace(', h', ', CASE WHEN n = 1 THEN h ELSE sha256(l || h || r) END AS h')},"
+                f" tree, i // 8 AS i FROM (SELECT r.*, n, {around(name, k, 'l')} AS l, {around(name, k, 'r')} AS r"
+                f" FROM {last} r JOIN (SELECT DISTINCT tree, n FROM {name}{k}) USING (tree)))"
+            )
+            last = f"{name}f{k}"
+    digest = (
+        "crc AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: "
+        "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t)"
+    )
+    checksum = (
+        "xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT),"
+        " lambda h, b: xor(h >> 8, t[(xor(h, b) & 255) + 1]), 4294967295), 4294967295)"
+    )
+    rows = (
+        f"rows AS (SELECT doc_id, coalesce('+' || lang, '') AS tree, {leaf('text')} AS leaf,"
+        f" CASE WHEN {checksum} % 3 = 0 THEN {leaf(f"translate(text, '{upper}', '{lower}')")} END AS changed FROM documents, crc),"
+        " ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM rows)"
+    )
+    start = "start AS (SELECT doc_id, leaf, '' AS proof, coalesce(changed, leaf) AS h, tree, i FROM ranked)"
+    return (
+        "WITH " + ", ".join([digest, rows, *parts, start, *steps])
+        + f" SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, {last}.h AS folded_root, {last}.h = root AS verified"
+        f" FROM {last}, (SELECT h AS root FROM t{levels})"
+    )
+
+
 def llm_oracles() -> dict[str, str]:
     import corpus_pipeline
 
-    found = {"op1_phrase_automata": _WINDOWS, "op3_exact_dedup": _EXACT, "op7_metric_join": _COSINE}
+    found = {"op1_phrase_automata": _WINDOWS, "op3_exact_dedup": _EXACT, "op7_metric_join": _COSINE, "op12_merkle_rollup": _merkle_sql()}
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
