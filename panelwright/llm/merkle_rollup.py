@@ -68,7 +68,7 @@ def ranked(rows: DataFrame, tree: str, order: list[str]) -> tuple[DataFrame, Dat
     number = F.monotonically_increasing_id()
     by = [F.col(c).asc_nulls_first() for c in (tree, *order)]
     dealt = rows.repartitionByRange(partitions(rows.sparkSession), *by).sortWithinPartitions(*by)
-    dealt = stage(dealt.withColumn("_number", number), "ranks")
+    dealt = stage(dealt.withColumn("_number", number), "ranks", False)
     part = F.shiftright("_number", 33).alias("_part")
     held = dealt.groupBy(tree, part).agg(F.min("_number").alias("_first"), F.count("*").alias("_held"))
     before = Window.partitionBy(tree).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -136,7 +136,7 @@ def _rolled(nodes: DataFrame, most: int) -> list[DataFrame]:
     """Rounds of blocks, the last with one block a tree; ``most`` nodes are in the largest tree."""
     rounds = []
     while not rounds or most > 1:
-        rounds.append(stage(roll(nodes), "blocks"))
+        rounds.append(stage(roll(nodes), "blocks", False))
         most = -(-most // _BLOCK)
         nodes = rounds[-1].select("tree", "i", F.shiftright(F.col("n") + (_BLOCK - 1), _BITS * _LEVELS).alias("n"), "h")
     return rounds
@@ -160,7 +160,7 @@ def fold(leaf: Column, path: Column) -> Column:
 
 def manifest(docs: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified."""
-    own = stage(leaves(docs), "leaves")
+    own = stage(leaves(docs), "leaves", False)
     rows, dealt = ranked(own, "lang", ["doc_id", "leaf"])
     rows = rows.select(F.col("lang").alias("tree"), "i", "n", F.col("leaf").alias("h"), "doc_id", "changed")
     most = own.groupBy("lang").count().agg(F.max("count")).first()[0] or 0

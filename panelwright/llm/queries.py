@@ -13,6 +13,7 @@ from panelwright.llm import (
     column_bwt,
     exact_dedup,
     factor_machine,
+    k2_treap,
     merkle_rollup,
     metric_join,
     phrase_automata,
@@ -80,6 +81,10 @@ def op12_merkle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_rollup.manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_k2_treap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return k2_treap.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
@@ -208,8 +213,31 @@ def _merkle_sql(levels: int = 12) -> str:
     )
 
 
+_SEARCH = r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term, rowid AS r
+  FROM (SELECT *, row_number() OVER () AS rowid FROM documents)
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), tf AS (SELECT r, any_value(doc_id) AS doc_id, term, count(*)::BIGINT AS tf FROM d GROUP BY r, term),
+n AS (SELECT r, sum(tf)::BIGINT AS n FROM tf GROUP BY r),
+all_docs AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS len FROM n),
+w AS (SELECT term, floor(1000 * ln((2 * max(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, all_docs GROUP BY term),
+s AS (
+  SELECT item_id, r, any_value(doc_id) AS doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // len))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN n USING (r) JOIN w USING (term), all_docs GROUP BY item_id, r
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     import corpus_pipeline
 
-    found = {"op1_phrase_automata": _WINDOWS, "op3_exact_dedup": _EXACT, "op7_metric_join": _COSINE, "op12_merkle_rollup": _merkle_sql()}
+    found = {"op1_phrase_automata": _WINDOWS, "op3_exact_dedup": _EXACT, "op7_metric_join": _COSINE, "op12_merkle_rollup": _merkle_sql(), "op13_k2_treap": _SEARCH}
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -14,7 +14,7 @@ from .test_dedup import exact_by_hand, near_by_hand
 def test_names_and_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact", "near", "mix", "tokens"]
     names = [k for k in entry_file.queries() if k.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_file.queries()
     assert all(len(inspect.signature(f).parameters) == 3 for _, f in corpus_pipeline.STAGES)
 
