@@ -636,7 +636,7 @@ SELECT replace(CASE WHEN misspelt THEN 'Old nation ' ELSE 'Nation ' END, ' ', '
 FROM development JOIN known ON ("Country_ID" = "ID_Country")"""),
     "key_duplicates": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY ALL HAVING count(*) > 1""",
-    "fk_orphans": """SELECT -l_orderkey AS l_orderkey, count(*) AS n_rows FROM lineitem
+    "fk_orphans": """SELECT -l_orderkey - 1 AS l_orderkey, count(*) AS n_rows FROM lineitem
 WHERE l_returnflag = 'R' GROUP BY ALL""",
     "null_violations": f"""SELECT * FROM (
   SELECT 'doc_id' AS column_name, count(*) FILTER (WHERE doc_id IS NULL) AS n_rows FROM {_JUDGED}

@@ -699,7 +699,7 @@ def key_duplicates(panel: StarPanel) -> DataFrame:
 @_register
 def fk_orphans(panel: StarPanel) -> DataFrame:
     """Returned lines name an order that does not exist."""
-    key = F.when(F.col("l_returnflag") == "R", -F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
+    key = F.when(F.col("l_returnflag") == "R", -F.col("l_orderkey") - 1).otherwise(F.col("l_orderkey"))
     return ops.foreign_key_orphans(panel.star("lineitem").select(key.alias("l_orderkey")), "l_orderkey", panel.star("orders"), "o_orderkey")
 
 
