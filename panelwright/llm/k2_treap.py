@@ -42,7 +42,7 @@ from panelwright.llm.common import pieces, raw_texts, stage, unstage
 
 #: Digits, letters in lower case and the bytes of all other characters stay, the rest becomes a blank.
 _CLASS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-SHARD_BYTES = 32 << 20  # of text; one text may be longer
+SHARD_BYTES = 24 << 20  # of text; one text may be longer
 BLOCK_ITEMS, BLOCK_BYTES = 512, 4 << 20
 TOP = 10
 SPREAD = 4  # a term has 2 ** SPREAD rows, all but the first empty: squares of so few documents hold no other term
@@ -104,31 +104,49 @@ class Treap:
         maxima, quarters = [top], []
         for packed, less in zip(bits, stored[1:]):
             quarter = np.unpackbits(np.frombuffer(packed, np.uint8), count=4 * len(top)).astype(bool).reshape(-1, 4)
-            held = np.count_nonzero(quarter, axis=1)
-            width = len(less) // max(1, int(held.sum()))
-            top = np.repeat(top, held) - np.frombuffer(less, f"<u{max(1, width)}").astype(np.int32)
+            top = _lowered(top, quarter.sum(axis=1), less)
             quarters.append(quarter)
             maxima.append(top)
         return Treap(quarters, maxima)
 
-    def children(self) -> list[np.ndarray]:
-        """Place of each quarter in the next level; the last place there, which holds 0, stands for none."""
-        out = []
-        for quarter in self.bits:
-            flat = np.r_[quarter.ravel(), np.zeros(4, bool)]
-            below = np.cumsum(flat, dtype=np.int32) - np.int32(1)
-            below[~flat] = below[-1] + 1
-            out.append(below.reshape(-1, 4))
-        return out
+
+def _lowered(above: np.ndarray, held: np.ndarray, less: bytes) -> np.ndarray:
+    """Maxima of a level from those above it, the number of squares held there, and what is missing."""
+    width = len(less) // max(1, int(held.sum(dtype=np.int64)))
+    return np.repeat(above, held) - np.frombuffer(less, f"<u{max(1, width)}").astype(np.int32)
+
+
+#: By the four bits of a square: the number of its quarters, and of those before each.
+_HELD = np.array([b.bit_count() for b in range(16)], np.uint8)
+_BEFORE = np.array([[(b >> (4 - q)).bit_count() for q in range(4)] for b in range(16)], np.int32)
 
 
 class Search:
-    """Best documents of one shard."""
+    """Best documents of one packed shard. A level takes 9 bytes a square: its four bits, the place of its first
+    quarter in the next level and its maximum. One more square without quarters and maximum stands for none."""
 
-    def __init__(self, treap: Treap):
-        self.height = len(treap.bits)
-        self.child = treap.children()
-        self.maxima = [np.r_[m, np.zeros(1, m.dtype)] for m in treap.maxima]
+    def __init__(self, bits: list[bytes], stored: list[bytes]):
+        self.height = len(bits)
+        top = np.frombuffer(stored[0], "<i4")
+        self.maxima = [np.r_[top, np.int32(0)]]
+        self.four: list[np.ndarray] = []
+        self.first: list[np.ndarray] = []
+        for packed, less in zip(bits, stored[1:]):
+            pairs = np.frombuffer(packed, np.uint8)
+            four = np.stack([pairs >> 4, pairs & 15], axis=1).ravel()[: len(top)]
+            held = _HELD[four]
+            first = np.zeros(len(top) + 1, np.int32)
+            np.cumsum(held, out=first[1:])
+            top = _lowered(top, held, less)
+            self.four.append(np.r_[four, np.uint8(0)])
+            self.first.append(first)
+            self.maxima.append(np.r_[top, np.int32(0)])
+
+    def below(self, level: int, at: np.ndarray, quarter: np.ndarray) -> np.ndarray:
+        """Squares of the next level: the given quarters of squares, or the one that stands for none."""
+        four = self.four[level][at]
+        there = (four >> (3 - quarter)) & 1 == 1
+        return np.where(there, self.first[level][at] + _BEFORE[four, quarter], len(self.maxima[level + 1]) - 1)
 
     def best(self, rows: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[int, int]]:
         """(score, column) of the best k columns with a score above 0; equal scores by column."""
@@ -150,7 +168,7 @@ class Search:
                 shift = self.height - 1 - level
                 at = np.stack([w[2] for w in some])
                 quarter = 2 * (rows >> shift & 1)
-                squares = self.child[level][np.concatenate([at, at]), np.r_[quarter, quarter + 1].reshape(2, -1).repeat(len(some), axis=0)]
+                squares = np.concatenate([self.below(level, at, quarter), self.below(level, at, quarter + 1)])
                 bounds = (self.maxima[level + 1][squares] @ weights).tolist()
                 firsts = [w[0] for w in some] + [w[0] + (1 << shift) for w in some]
                 for j, one in enumerate(zip(bounds, (-f for f in firsts))):
@@ -305,7 +323,7 @@ def _descend(names: pa.Array, weights: np.ndarray, items: list[np.ndarray], k: i
             for i in range(batch.num_rows):
                 at = pc.index_in(names, value_set=batch.column("terms")[i].values)
                 row = np.asarray(at.fill_null(-1), np.int64) << SPREAD
-                search = Search(Treap.unpack(batch.column("bits")[i].as_py(), batch.column("maxima")[i].as_py()))
+                search = Search(*([b.as_buffer() for b in batch.column(c)[i]] for c in ("bits", "maxima")))
                 found = []
                 for j, own in enumerate(items):
                     own = own[(row[own] >= 0) & (weights[own] > 0)]

@@ -229,9 +229,10 @@ def test_treap_keeps_every_cell_and_its_maxima():
     for rows, columns, n in ((1, 1, 1), (9, 3, 12), (40, 300, 900), (500, 5, 700)):
         cells = rng.choice(rows * columns, min(n, rows * columns), replace=False)
         row, column, value = cells // columns, cells % columns, rng.integers(1, 1_000_000, len(cells))
-        treap = k2_treap.Treap.unpack(*k2_treap.Treap.build(row, column, value).pack())
+        packed = k2_treap.Treap.build(row, column, value).pack()
+        treap = k2_treap.Treap.unpack(*packed)
         assert len(treap.maxima[-1]) == len(cells) and treap.maxima[0].tolist() == [value.max()]
-        search = k2_treap.Search(treap)
+        search = k2_treap.Search(*packed)
         for _ in range(20):
             own = rng.choice(rows, rng.integers(1, min(rows, 6) + 1), replace=False)
             weights = rng.integers(1, 9, len(own))
@@ -245,7 +246,7 @@ def test_treap_keeps_every_cell_and_its_maxima():
 
 def test_equal_scores_go_by_column_however_many_there_are():
     treap = k2_treap.Treap.build(np.zeros(5000, int), np.arange(5000), np.full(5000, 7))
-    assert k2_treap.Search(treap).best(np.array([0]), np.array([2]), 3) == [(14, 0), (14, 1), (14, 2)]
+    assert k2_treap.Search(*treap.pack()).best(np.array([0]), np.array([2]), 3) == [(14, 0), (14, 1), (14, 2)]
 
 
 def test_search_looks_at_a_small_part_of_the_grid():
@@ -253,10 +254,9 @@ def test_search_looks_at_a_small_part_of_the_grid():
     column = np.flatnonzero(rng.random(1 << 14) < 0.3)
     value = rng.integers(1, 50, len(column))
     value[100] = 10_000
-    search = k2_treap.Search(k2_treap.Treap.build(np.full(len(column), 3), column, value))
-    looked = []
-    child = search.child
-    search.child = [type("Seen", (), {"__getitem__": lambda self, at, c=c: (looked.append(len(at[0])), c[at])[1]})() for c in child]
+    search = k2_treap.Search(*k2_treap.Treap.build(np.full(len(column), 3), column, value).pack())
+    looked, below = [], search.below
+    search.below = lambda level, at, quarter: (looked.append(len(at)), below(level, at, quarter))[1]
     assert search.best(np.array([3]), np.array([1]), 1) == [(10_000, int(column[100]))]
     assert sum(looked) < len(column) / 4
 
