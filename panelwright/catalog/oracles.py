@@ -630,6 +630,8 @@ FROM power_consumed"""),
 SELECT {_ACCENTED.format('p_type')} AS "Sector", {_ACCENTED.format("plain")} AS "Country",
        CAST("Year" + 5 AS VARCHAR) AS "Year", ("CO2_Emission" * 100)::DOUBLE / 1024 AS emission
 FROM sector_country JOIN known ON "ID_Country" = "Country_ID_Country" WHERE "Year" + 5 BETWEEN 2001 AND 2005"""),
+    "workbook_round_trip": "SELECT * FROM orders",
+    "workbook_sectors": _LOADS["load_sector_country"],
     "report_with_preamble": _with_panel(r"""
 SELECT replace(CASE WHEN misspelt THEN 'Old nation ' ELSE 'Nation ' END, ' ', ' ' || chr(160) || chr(9)) || "ID_Country" AS "Country",
        CAST("Ano" + 2 AS INTEGER) AS "Year", "Health"

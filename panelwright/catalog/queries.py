@@ -34,7 +34,9 @@ from panelwright.sources import (
     read_delimited,
     read_sheet_export,
     read_with_preamble,
+    read_workbook,
     source_labels,
+    write_workbooks,
     year_columns,
 )
 
@@ -654,6 +656,24 @@ def sheet_round_trip(panel: StarPanel) -> DataFrame:
     )
 
 
+@_register
+def workbook_round_trip(panel: StarPanel) -> DataFrame:
+    """Every order through workbooks, one a partition, read in ranges of rows with a declared schema."""
+    path, orders = shared_folder(panel.spark), panel.star("orders")
+    write_workbooks(orders, path, "orders")
+    return read_workbook(panel.spark, path, "orders", schema=orders.schema)
+
+
+@_register
+def workbook_sectors(panel: StarPanel) -> DataFrame:
+    """The wide sheet of sectors written as workbooks, read as text, matched and melted by the load."""
+    path = shared_folder(panel.spark)
+    sheet = raw.sector_sheet(StarPanel(panel.spark, panel.folder, share=True))
+    write_workbooks(sheet.withColumnsRenamed({"Sector": " Sector ", "2003": "2003.0"}), path, "totals")
+    read = read_workbook(panel.spark, path, "totals")
+    return loads.sector_emissions(read, raw.known_countries(panel), panel["Sector"])
+
+
 @_register
 def report_with_preamble(panel: StarPanel) -> DataFrame:
     """A report with title lines, blank headers and footnotes, parsed by position."""

@@ -15,11 +15,13 @@ from panelwright.sources.seeds import (
     source_labels,
 )
 from panelwright.sources.views import as_views, pick
+from panelwright.sources.workbook import WorkbookSource, read_workbook, write_workbooks
 
 __all__ = [
     "FILE_ORDER",
     "POWER_SOURCES",
     "SOURCE_LABELS",
+    "WorkbookSource",
     "as_views",
     "clean_headers",
     "keep_existing",
@@ -29,6 +31,8 @@ __all__ = [
     "read_delimited",
     "read_sheet_export",
     "read_with_preamble",
+    "read_workbook",
     "source_labels",
+    "write_workbooks",
     "year_columns",
 ]

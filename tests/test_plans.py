@@ -8,7 +8,7 @@ from panelwright.catalog.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
 PYTHON_ALLOWED = {"load_sector_country", "load_sector_country_gaps", "accent_fold_lookup", "unmatched_names"}
-WRITES = {"store_upsert", "append_bridge", "csv_round_trip", "report_with_preamble"}
+WRITES = {"store_upsert", "append_bridge", "csv_round_trip", "report_with_preamble", "workbook_round_trip", "workbook_sectors"}
 
 
 def planned(df):
