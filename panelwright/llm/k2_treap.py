@@ -42,7 +42,7 @@ from panelwright.llm.common import pieces, raw_texts, stage, unstage
 
 #: Digits, letters in lower case and the bytes of all other characters stay, the rest becomes a blank.
 _CLASS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-SHARD_BYTES = 24 << 20  # of text; one text may be longer
+SHARD_BYTES = 12 << 20  # of text; one text may be longer
 BLOCK_ITEMS, BLOCK_BYTES = 512, 4 << 20
 TOP = 10
 SPREAD = 4  # a term has 2 ** SPREAD rows, all but the first empty: squares of so few documents hold no other term
@@ -75,9 +75,13 @@ class Treap:
         height = max(1, int(max(row.max(initial=0), column.max(initial=0))).bit_length())
         place = np.zeros(len(row), np.int64)
         for b in range(height):
-            place |= ((row.astype(np.int64) >> b & 1) << (2 * b + 1)) | ((column.astype(np.int64) >> b & 1) << (2 * b))
-        order = np.argsort(place, kind="stable")
-        place, top = place[order], value[order].astype(np.int64)
+            for side, shift in ((row, 2 * b + 1), (column, 2 * b)):
+                bit = (side >> b & 1).astype(np.int64)
+                bit <<= shift
+                place |= bit
+        order = np.argsort(place, kind="stable").astype(np.int32)
+        place, top = place[order], value[order].astype(np.int32)
+        del order
         maxima, bits = [top], []
         for _ in range(height):
             above = place >> 2
@@ -246,10 +250,12 @@ def _treaps(documents: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                per, rows, tf = (np.asarray(batch.column(c)[i].values, np.int64) for c in ("per", "rows", "tf"))
+                per, rows, tf = (np.asarray(batch.column(c)[i].values) for c in ("per", "rows", "tf"))
                 heads = np.r_[0, np.cumsum(per)[:-1]]
-                m = 10 + 90 * np.add.reduceat(tf, heads) * documents // length
-                bits, maxima = Treap.build(rows << SPREAD, np.repeat(np.arange(len(per)), per), impact(tf, np.repeat(m, per))).pack()
+                m = 10 + 90 * np.add.reduceat(tf, heads, dtype=np.int64) * documents // length
+                value = impact(tf.astype(np.int64), np.repeat(m, per)).astype(np.int32)
+                bits, maxima = Treap.build(rows << SPREAD, np.repeat(np.arange(len(per), dtype=np.int32), per), value).pack()
+                del value
                 kept = [batch.column(c).slice(i, 1) for c in ("ids", "terms", "df")]
                 yield pa.RecordBatch.from_arrays(
                     [*kept, pa.array([bits], pa.list_(pa.binary())), pa.array([maxima], pa.list_(pa.binary()))],
