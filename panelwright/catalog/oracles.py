@@ -659,6 +659,52 @@ FROM sector_country WHERE "Country_ID_Country" < 5 GROUP BY ALL
 UNION ALL
 SELECT 'Sector_Country', 'precision', 'CO2_Emission', count(*) FROM sector_country
 WHERE TRY_CAST("CO2_Emission" AS DECIMAL(12, 4)) IS NULL HAVING count(*) > 0"""),
+    "audit_star": """
+WITH line AS (
+  SELECT CASE WHEN l_returnflag = 'R' THEN -l_orderkey - 1 ELSE l_orderkey END AS o, l_linenumber AS n, l_partkey AS p,
+         CASE WHEN l_returnflag = 'A' THEN -7 ELSE l_suppkey END AS s,
+         CASE WHEN l_quantity <> 13 THEN l_shipdate END AS d, l_extendedprice AS price
+  FROM lineitem
+), found AS (
+  SELECT 'region' AS t, 'unique key' AS r, r_regionkey::VARCHAR AS v, count(*) AS c, 2 AS least FROM region WHERE v IS NOT NULL GROUP BY v
+  UNION ALL SELECT 'region', 'not null', 'r_regionkey', count(*), 1 FROM region WHERE r_regionkey IS NULL
+  UNION ALL SELECT 'region', 'precision', 'r_name', count(*), 1 FROM region WHERE length(r_name) > 100
+  UNION ALL SELECT 'nation', 'unique key', n_name AS v, count(*), 2 FROM nation WHERE v IS NOT NULL GROUP BY v
+  UNION ALL SELECT 'nation', 'not null', 'n_nationkey', count(*), 1 FROM nation WHERE n_nationkey IS NULL
+  UNION ALL SELECT 'nation', 'precision', 'n_name', count(*), 1 FROM nation WHERE length(n_name) > 100
+  UNION ALL SELECT 'nation', 'n_regionkey in region', n_regionkey::VARCHAR AS v, count(*), 1
+    FROM nation ANTI JOIN region ON n_regionkey = r_regionkey WHERE v IS NOT NULL GROUP BY v
+  UNION ALL SELECT 'supplier', 'unique key', s_suppkey::VARCHAR AS v, count(*), 2 FROM supplier WHERE v IS NOT NULL GROUP BY v
+  UNION ALL SELECT 'supplier', 'precision', 's_acctbal', count(*), 1 FROM supplier
+    WHERE s_acctbal IS NOT NULL AND TRY_CAST(s_acctbal AS DECIMAL(5, 2)) IS NULL
+  UNION ALL SELECT 'supplier', 's_nationkey in nation', s_nationkey::VARCHAR AS v, count(*), 1
+    FROM supplier ANTI JOIN nation ON s_nationkey = n_nationkey WHERE v IS NOT NULL GROUP BY v
+  UNION ALL SELECT 'customer', 'unique key', c_custkey::VARCHAR AS v, count(*), 2 FROM customer WHERE v IS NOT NULL GROUP BY v
+  UNION ALL SELECT 'customer', 'not null', 'c_nationkey', count(*), 1 FROM customer WHERE c_nationkey IS NULL
+  UNION ALL SELECT 'customer', 'precision', 'c_mktsegment', count(*), 1 FROM customer WHERE length(c_mktsegment) > 100
+  UNION ALL SELECT 'customer', 'c_nationkey in nation', c_nationkey::VARCHAR AS v, count(*), 1
+    FROM customer ANTI JOIN nation ON c_nationkey = n_nationkey WHERE v IS NOT NULL GROUP BY v
+  UNION ALL SELECT 'part', 'unique key', p_brand || ', ' || p_size AS v, count(*), 2 FROM part WHERE v IS NOT NULL GROUP BY v
+  UNION ALL SELECT 'part', 'not null', 'p_size', count(*), 1 FROM part WHERE p_size IS NULL
+  UNION ALL SELECT 'part', 'precision', 'p_name', count(*), 1 FROM part WHERE length(p_name) > 100
+  UNION ALL SELECT 'orders', 'unique key', o_orderkey::VARCHAR AS v, count(*), 2 FROM orders WHERE v IS NOT NULL GROUP BY v
+  UNION ALL SELECT 'orders', 'not null', 'o_orderdate', count(*), 1 FROM orders WHERE o_orderdate IS NULL
+  UNION ALL SELECT 'orders', 'precision', 'o_totalprice', count(*), 1 FROM orders
+    WHERE o_totalprice IS NOT NULL AND TRY_CAST(o_totalprice AS DECIMAL(7, 2)) IS NULL
+  UNION ALL SELECT 'orders', 'o_custkey in customer', o_custkey::VARCHAR AS v, count(*), 1
+    FROM orders ANTI JOIN customer ON o_custkey = c_custkey WHERE v IS NOT NULL GROUP BY v
+  UNION ALL SELECT 'lineitem', 'unique key', o || ', ' || n AS v, count(*), 2 FROM line WHERE v IS NOT NULL GROUP BY v
+  UNION ALL SELECT 'lineitem', 'not null', 'l_shipdate', count(*), 1 FROM line WHERE d IS NULL
+  UNION ALL SELECT 'lineitem', 'precision', 'l_extendedprice', count(*), 1 FROM line
+    WHERE price IS NOT NULL AND TRY_CAST(price AS DECIMAL(8, 2)) IS NULL
+  UNION ALL SELECT 'lineitem', 'l_orderkey in orders', o::VARCHAR AS v, count(*), 1
+    FROM line ANTI JOIN orders ON o = o_orderkey WHERE v IS NOT NULL GROUP BY v
+  UNION ALL SELECT 'lineitem', 'l_partkey in part', p::VARCHAR AS v, count(*), 1
+    FROM line ANTI JOIN part ON p = p_partkey WHERE v IS NOT NULL GROUP BY v
+  UNION ALL SELECT 'lineitem', 'l_suppkey in supplier', s::VARCHAR AS v, count(*), 1
+    FROM line ANTI JOIN supplier ON s = s_suppkey WHERE v IS NOT NULL GROUP BY v
+)
+SELECT t AS table_name, r AS rule, v AS detail, c AS n_rows FROM found WHERE c >= least""",
 }
 
 

@@ -7,7 +7,7 @@ from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StructType
 
 from panelwright import operators as ops
 from panelwright.catalog import raw_shapes as raw
@@ -25,7 +25,7 @@ from panelwright.functions import (
 from panelwright.plans import loads, questions, tidy
 from panelwright.plans.star_panel import StarPanel, cents, from_cents, name_id
 from panelwright.session import shared_folder
-from panelwright.schema import TABLES
+from panelwright.schema import TABLES, TableSpec
 from panelwright.sinks import PanelStore, write_result_csv
 from panelwright.sinks.store import RepeatedKey
 from panelwright.sources import (
@@ -745,3 +745,46 @@ def audit_panel(panel: StarPanel) -> DataFrame:
         "Sector_Country": panel["Sector_Country"].withColumn("Country_ID_Country", wrong),
     }
     return ops.audit(tables)
+
+
+def _star_spec(name: str, columns: str, *key: str, **references: tuple[str, str]) -> TableSpec:
+    return TableSpec(name, StructType.fromDDL(columns), key, references)
+
+
+def star_specs() -> dict[str, TableSpec]:
+    """Rules that the star declares, some tighter than its values."""
+    specs = (
+        _star_spec("region", "r_regionkey int not null, r_name string", "r_regionkey"),
+        _star_spec("nation", "n_nationkey int not null, n_name string", "n_name", n_regionkey=("region", "r_regionkey")),
+        _star_spec("supplier", "s_acctbal decimal(5,2)", "s_suppkey", s_nationkey=("nation", "n_nationkey")),
+        _star_spec("customer", "c_nationkey int not null, c_mktsegment string", "c_custkey", c_nationkey=("nation", "n_nationkey")),
+        _star_spec("part", "p_name string, p_size int not null", "p_brand", "p_size"),
+        _star_spec("orders", "o_totalprice decimal(7,2), o_orderdate timestamp not null", "o_orderkey", o_custkey=("customer", "c_custkey")),
+        _star_spec(
+            "lineitem",
+            "l_shipdate timestamp not null, l_extendedprice decimal(8,2)",
+            "l_orderkey",
+            "l_linenumber",
+            l_orderkey=("orders", "o_orderkey"),
+            l_partkey=("part", "p_partkey"),
+            l_suppkey=("supplier", "s_suppkey"),
+        ),
+    )
+    return {s.name: s for s in specs}
+
+
+@_register
+def audit_star(panel: StarPanel) -> DataFrame:
+    """Every rule over seven tables: returned lines name an order that does not exist, a third of all lines one
+    supplier that is gone, and some dates are missing."""
+    specs = star_specs()
+    tables = {name: panel.star(name) for name in specs}
+    returned = F.col("l_returnflag") == "R"
+    tables["lineitem"] = tables["lineitem"].withColumns(
+        {
+            "l_orderkey": F.when(returned, -F.col("l_orderkey") - 1).otherwise(F.col("l_orderkey")),
+            "l_suppkey": F.when(F.col("l_returnflag") == "A", F.lit(-7).cast("bigint")).otherwise(F.col("l_suppkey")),
+            "l_shipdate": F.when(F.col("l_quantity") != 13, F.col("l_shipdate")),
+        }
+    )
+    return ops.audit(tables, specs)

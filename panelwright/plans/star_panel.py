@@ -27,6 +27,7 @@ RENEWABLE = ["BUILDING", "FURNITURE"]
 
 # Declared schemas of the star, so that no read starts a job to infer one.
 STAR_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",

@@ -210,3 +210,31 @@ def test_quality_checks(spark):
 
     long = fact.withColumn("t", F.repeat(F.lit("x"), F.lit(101)))
     assert rows(ops.precision_violations(long, {"v": DecimalType(6, 2), "t": StringType()})) == [("t", 4), ("v", 2)]
+
+
+def test_audit_of_gaps_types_and_repeats(spark):
+    from pyspark.sql.types import StructType
+
+    from panelwright.schema import TableSpec
+
+    fact = TableSpec(
+        "fact", StructType.fromDDL("a int not null, n decimal(3,1), t string, absent int not null"), ("a", "b"), {"a": ("dim", "id"), "x": ("dim", "id"), "s": ("dim", "t")}
+    )
+    dim = TableSpec("dim", StructType.fromDDL("t string"), ("id",), {"up": ("dim", "id"), "out": ("nowhere", "id")})
+    rows_ = [(1, 1, 9.5, "x", 1.0, "p"), (1, 1, 99.96, "y" * 101, 5.0, None), (None, 1, None, None, None, "q"), (None, 1, -100.0, "z", 2.5, "p"), (8, None, 1.0, "", 1.0, "")]
+    facts = spark.createDataFrame(rows_, "a long, b int, n double, t string, x double, s string")
+    dims = spark.createDataFrame([(1, "p", None), (2, "", 1), (3, None, 9), (3, "p", 1)], "id int, t string, up int")
+    found = ops.audit({"fact": facts, "dim": dims}, {"fact": fact, "dim": dim})
+    assert rows(found) == [
+        ("dim", "unique key", "3", 2),
+        ("dim", "up in dim", "9", 1),
+        ("fact", "a in dim", "8", 1),
+        ("fact", "not null", "a", 2),
+        ("fact", "precision", "n", 2),
+        ("fact", "precision", "t", 1),
+        ("fact", "s in dim", "q", 1),
+        ("fact", "unique key", "1, 1", 2),
+        ("fact", "x in dim", "2.5000000000", 1),
+        ("fact", "x in dim", "5.0000000000", 1),
+    ]
+    assert ops.audit({"dim": dims.limit(0)}, {"dim": dim}).collect() == []

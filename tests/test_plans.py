@@ -142,3 +142,21 @@ def test_results_do_not_change_without_broadcasts(spark, no_broadcast):
         fast = [tuple(r) for r in all_queries()[name](spark, SF).collect()]
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         assert slow == fast, name
+
+
+def test_a_wide_audit_reads_each_table_once_in_one_shuffle(spark):
+    plan = planned(all_queries()["audit_star"](spark, SF))
+    for table in ("region", "nation", "supplier", "customer", "part", "orders", "lineitem"):
+        assert plan.count(f"/{table}.parquet") == 1, table
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_a_hot_reference_is_one_entry_a_task(spark):
+    from panelwright.schema import TableSpec
+    from pyspark.sql.types import StructType
+
+    spec = TableSpec("f", StructType.fromDDL("k long"), ("id",), {"k": ("d", "k")})
+    fact = spark.range(0, 40_000, 1, 4).selectExpr("id", "if(id % 3 = 0, 7, id) AS k")
+    counted = ops.audit({"f": fact, "d": spark.range(0).selectExpr("id AS k")}, {"f": spec, "d": TableSpec("d", StructType(), ("k",))})
+    assert counted.where("detail = '7'").select("rule", "n_rows").first() == ("k in d", 13_335)
+    assert "partial_sum" in planned(counted)
