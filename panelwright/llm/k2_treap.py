@@ -49,6 +49,17 @@ SPREAD = 4  # a term has 2 ** SPREAD rows, all but the first empty: squares of s
 _WAVE = 32  # ranges halved at once
 
 
+def _squeezed(data: bytes | np.ndarray) -> bytes:
+    """With its length in front. Shards travel squeezed: most squares of a level miss nothing to the one above."""
+    raw = data if isinstance(data, bytes) else data.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _loose(data: pa.Buffer | bytes) -> pa.Buffer:
+    view = memoryview(data)
+    return pa.decompress(view[8:], int.from_bytes(view[:8], "little"), codec="zstd")
+
+
 def terms(text: bytes) -> list[bytes]:
     return text.translate(_CLASS).split()
 
@@ -96,17 +107,17 @@ class Treap:
 
     def pack(self) -> tuple[list[bytes], list[bytes]]:
         """Bits as bytes, and each level's maxima as what is missing to the square above, in the least width."""
-        stored = [self.maxima[0].astype("<i4").tobytes()]
+        stored = [self.maxima[0].astype("<i4")]
         for quarter, above, own in zip(self.bits, self.maxima, self.maxima[1:]):
             less = np.repeat(above, quarter.sum(axis=1)) - own
-            stored.append(less.astype("<u1" if less.max(initial=0) < 256 else "<u2" if less.max(initial=0) < 65536 else "<u4").tobytes())
-        return [np.packbits(q).tobytes() for q in self.bits], stored
+            stored.append(less.astype("<u1" if less.max(initial=0) < 256 else "<u2" if less.max(initial=0) < 65536 else "<u4"))
+        return [_squeezed(np.packbits(q)) for q in self.bits], [_squeezed(x) for x in stored]
 
     @staticmethod
     def unpack(bits: list[bytes], stored: list[bytes]) -> Treap:
-        top = np.frombuffer(stored[0], "<i4")
+        top = np.frombuffer(_loose(stored[0]), "<i4")
         maxima, quarters = [top], []
-        for packed, less in zip(bits, stored[1:]):
+        for packed, less in zip(map(_loose, bits), map(_loose, stored[1:])):
             quarter = np.unpackbits(np.frombuffer(packed, np.uint8), count=4 * len(top)).astype(bool).reshape(-1, 4)
             top = _lowered(top, quarter.sum(axis=1), less)
             quarters.append(quarter)
@@ -114,7 +125,7 @@ class Treap:
         return Treap(quarters, maxima)
 
 
-def _lowered(above: np.ndarray, held: np.ndarray, less: bytes) -> np.ndarray:
+def _lowered(above: np.ndarray, held: np.ndarray, less: pa.Buffer) -> np.ndarray:
     """Maxima of a level from those above it, the number of squares held there, and what is missing."""
     width = len(less) // max(1, int(held.sum(dtype=np.int64)))
     return np.repeat(above, held) - np.frombuffer(less, f"<u{max(1, width)}").astype(np.int32)
@@ -131,11 +142,11 @@ class Search:
 
     def __init__(self, bits: list[bytes], stored: list[bytes]):
         self.height = len(bits)
-        top = np.frombuffer(stored[0], "<i4")
+        top = np.frombuffer(_loose(stored[0]), "<i4")
         self.maxima = [np.r_[top, np.int32(0)]]
         self.four: list[np.ndarray] = []
         self.first: list[np.ndarray] = []
-        for packed, less in zip(bits, stored[1:]):
+        for packed, less in zip(map(_loose, bits), map(_loose, stored[1:])):
             pairs = np.frombuffer(packed, np.uint8)
             four = np.stack([pairs >> 4, pairs & 15], axis=1).ravel()[: len(top)]
             held = _HELD[four]
@@ -220,16 +231,29 @@ class _Shard:
             [
                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids.take(order)),
                 pa.array([sum(int(t.sum()) for t in self.tf)], pa.int64()),
-                pa.array([names[by].tolist()], pa.list_(pa.binary())),
-                pa.array([df[by]], pa.list_(pa.int32())),
-                pa.array([np.array([len(self.rows[i]) for i in by_id])], pa.list_(pa.int32())),
-                pa.array([place[np.concatenate([self.rows[i] for i in by_id])]], pa.list_(pa.int32())),
-                pa.array([np.concatenate([self.tf[i] for i in by_id])], pa.list_(pa.int32())),
+                pa.array([_squeezed(b" ".join(names[by]))], pa.binary()),  # a term holds no blank
+                *(
+                    pa.array([_squeezed(x.astype("<i4"))], pa.binary())
+                    for x in (
+                        df[by],
+                        np.array([len(self.rows[i]) for i in by_id]),
+                        place[np.concatenate([self.rows[i] for i in by_id])],
+                        np.concatenate([self.tf[i] for i in by_id]),
+                    )
+                ),
             ],
             ["ids", "length", "terms", "df", "per", "rows", "tf"],
         )
 
 
+def _numbers(squeezed: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(_loose(squeezed.as_buffer()), "<i4")
+
+
+def _names(squeezed: pa.BinaryScalar) -> pa.Array:
+    return pa.array(_loose(squeezed.as_buffer()).to_pybytes().split(b" "), pa.binary())
+
+
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shard = _Shard()
     for batch in batches:
@@ -250,7 +274,7 @@ def _treaps(documents: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                per, rows, tf = (np.asarray(batch.column(c)[i].values) for c in ("per", "rows", "tf"))
+                per, rows, tf = (_numbers(batch.column(c)[i]) for c in ("per", "rows", "tf"))
                 heads = np.r_[0, np.cumsum(per)[:-1]]
                 m = 10 + 90 * np.add.reduceat(tf, heads, dtype=np.int64) * documents // length
                 value = impact(tf.astype(np.int64), np.repeat(m, per)).astype(np.int32)
@@ -281,13 +305,13 @@ def build_index(docs: DataFrame) -> Index:
     postings = stage(
         texts.mapInArrow(
             _shards,
-            f"ids array<{kind}>, length long, terms array<binary>, df array<int>, per array<int>, rows array<int>, tf array<int>",
+            f"ids array<{kind}>, length long, terms binary, df binary, per binary, rows binary, tf binary",
         ),
         "postings",
     )
     documents, length = postings.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)), F.coalesce(F.sum("length"), F.lit(0))).first()
     made = postings.mapInArrow(
-        _treaps(documents, length), f"ids array<{kind}>, terms array<binary>, df array<int>, bits array<binary>, maxima array<binary>"
+        _treaps(documents, length), f"ids array<{kind}>, terms binary, df binary, bits array<binary>, maxima array<binary>"
     )
     shards = stage(made, "treaps")
     unstage(postings)
@@ -314,9 +338,9 @@ def _frequencies(names: pa.Array):
         total = np.zeros(len(names), np.int64)
         for batch in batches:
             for own, df in zip(batch.column("terms"), batch.column("df")):
-                at = pc.index_in(names, value_set=own.values)
+                at = pc.index_in(names, value_set=_names(own))
                 some = np.flatnonzero(np.asarray(at.is_valid()))
-                total[some] += np.asarray(df.values)[np.asarray(at.drop_null())]
+                total[some] += _numbers(df)[np.asarray(at.drop_null())]
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])], ["term", "df"])
 
@@ -327,7 +351,7 @@ def _descend(names: pa.Array, weights: np.ndarray, items: list[np.ndarray], k: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                at = pc.index_in(names, value_set=batch.column("terms")[i].values)
+                at = pc.index_in(names, value_set=_names(batch.column("terms")[i]))
                 row = np.asarray(at.fill_null(-1), np.int64) << SPREAD
                 search = Search(*([b.as_buffer() for b in batch.column(c)[i]] for c in ("bits", "maxima")))
                 found = []
