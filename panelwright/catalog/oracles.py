@@ -414,6 +414,15 @@ FROM fossil FULL JOIN land USING (yr, country)"""),
 }
 
 
+_REPORT = _with_scaled(f"""{_SHEET}
+SELECT 'sector' AS kind, 'Tiny' AS name, count(DISTINCT "Country_ID_Country") AS n_rows, NULL::DOUBLE AS total
+FROM sheet WHERE sector = 'SMALL' HAVING count(*) > 0
+UNION ALL
+SELECT 'country', ' ' || {_ACCENTED.format('plain')} AS n, count(DISTINCT sector), NULL FROM sheet WHERE sector <> 'SMALL' AND misspelt GROUP BY n
+UNION ALL
+SELECT 'loaded', yr::VARCHAR AS n, count(*), sum((round_even(emission * 100, 0) / 100)::DECIMAL(12, 4))::DOUBLE FROM sheet
+WHERE sector <> 'SMALL' AND NOT misspelt AND emission IS NOT NULL AND yr BETWEEN 2000 AND 2023 GROUP BY n""")
+
 _LOADS = _loads(_with_panel)
 _SCALED = _loads(_with_scaled)
 
@@ -532,6 +541,13 @@ l AS (SELECT "Country_ID_Country", "Year", sum("CO2_Emission")::DOUBLE AS emissi
 r AS (SELECT "Country_ID_Country", "Year" + 2 AS "Year", sum("CO2_Emission")::DOUBLE AS emission_source
       FROM power_source_country GROUP BY ALL)
 SELECT * FROM l FULL JOIN r USING ("Country_ID_Country", "Year")"""),
+    "outer_merge_hot_key": """
+WITH l AS (
+  SELECT CASE WHEN l_tax = 0 THEN NULL WHEN l_returnflag = 'R' THEN 7 ELSE l_suppkey END AS key, l_orderkey, l_linenumber,
+         l_quantity AS amount_line
+  FROM lineitem
+), r AS (SELECT s_suppkey + 3 AS key, s_acctbal AS amount_supplier, s_nationkey FROM supplier WHERE (s_suppkey + 3) % 3 <> 0)
+SELECT * FROM l FULL JOIN r USING (key)""",
     "dense_keys": _dense(
         "p_brand, p_name", "p_brand || chr(31) || p_name", "(SELECT DISTINCT p_brand, p_name FROM part)"
     ).format(id="id"),
@@ -709,4 +725,4 @@ SELECT t AS table_name, r AS rule, v AS detail, c AS n_rows FROM found WHERE c >
 
 
 def all_oracles() -> dict[str, str]:
-    return {**_QUESTIONS, **_LOADS, **_STORED, **_OPERATORS}
+    return {**_QUESTIONS, **_LOADS, "load_sector_country_report": _REPORT, **_STORED, **_OPERATORS}

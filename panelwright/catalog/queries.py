@@ -169,6 +169,23 @@ def load_sector_country_gaps(panel: StarPanel) -> DataFrame:
     return loads.sector_emission_gaps(sheet, raw.known_countries(panel), panel["Sector"])
 
 
+@_register
+def load_sector_country_report(panel: StarPanel) -> DataFrame:
+    """The sheet loaded and its unmatched names reported from one pass: rows by year, names with their rows."""
+    scaled = raw.ScaledPanel(panel.spark, panel.folder, share=True)
+    sector = F.col("Sector")
+    sheet = raw.sector_sheet(scaled).withColumn("Sector", F.when(sector == "SMÀLL", F.lit("Tiny")).otherwise(sector))
+    store = PanelStore(panel.spark, shared_folder(panel.spark))
+    store.create("Sector_Country")
+    sectors = ops.dense_keys(panel["Sector"].select("Name"), ["Name"], "ID_Sector")
+    with loads.sector_emissions_and_gaps(sheet, raw.known_countries(panel), sectors) as found:
+        store.upsert("Sector_Country", found.rows)
+        store.write_report("Sector_Country", found.unmatched)
+    by_year = store.read("Sector_Country").groupBy("Year").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("CO2_Emission").alias("total"))
+    loaded = by_year.select(F.lit("loaded").alias("kind"), F.col("Year").cast("string").alias("name"), "n_rows", "total")
+    return loaded.unionByName(store.report("Sector_Country").withColumn("total", F.lit(None).cast("decimal(22,4)")))
+
+
 @_register
 def load_power_source_country(panel: StarPanel) -> DataFrame:
     sources = power_source_seed(panel.spark).withColumn("ID_Power", name_id(F.col("Name")))
@@ -351,6 +368,16 @@ def outer_merge_measures(panel: StarPanel) -> DataFrame:
     return ops.outer_merge(sector, source, ["Country_ID_Country", "Year"], ("_sector", "_source"))
 
 
+@_register
+def outer_merge_hot_key(panel: StarPanel) -> DataFrame:
+    """Every line beside its supplier, three suppliers on: returned lines, a third of all, name one supplier, lines
+    without tax none, and another third of the suppliers' numbers is not there."""
+    key = F.when(F.col("l_tax") == 0, F.lit(None)).when(F.col("l_returnflag") == "R", F.lit(7)).otherwise(F.col("l_suppkey"))
+    lines = panel.star("lineitem").select(key.cast("bigint").alias("key"), "l_orderkey", "l_linenumber", F.col("l_quantity").alias("amount"))
+    suppliers = panel.star("supplier").select((F.col("s_suppkey") + 3).alias("key"), F.col("s_acctbal").alias("amount"), "s_nationkey")
+    return ops.outer_merge_skewed(lines, suppliers.where("key % 3 <> 0"), ["key"], ("_line", "_supplier"))
+
+
 @_register
 def dense_keys(panel: StarPanel) -> DataFrame:
     names = panel.star("part").select("p_brand", "p_name").distinct()
@@ -516,7 +543,7 @@ def accent_fold_lookup(panel: StarPanel) -> DataFrame:
     """
     counted = _words(panel.star("documents")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     words = _benchmark_words(panel)
-    hits = ops.lookup(counted, "word", words, rule="accent_fold", how="inner", names_repeat=False)
+    hits = ops.lookup(counted, "word", words, rule="accent_fold", how="inner")
     return hits.groupBy("id").agg(F.sum("n").alias("hits"))
 
 

@@ -7,7 +7,8 @@ with ``file_order=True`` carry one.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from panelwright.functions.numeric import (
     whole_number,
 )
 from panelwright.functions.text import casefold_key, extract_year, first_chars
-from panelwright.operators.joins import lookup, outer_merge, unmatched_names
+from panelwright.operators.joins import Match, Matched, lookup, match_and_report, outer_merge, unmatched_names
 from panelwright.operators.merge import last_known
 from panelwright.operators.ranking import first_per_key
 from panelwright.operators.reshape import unpivot_columns
@@ -80,20 +81,35 @@ def sector_emissions(
 
     Names are matched on the wide rows, before they multiply by the number of years.
     """
-    columns = year_columns(sheet, *years)
-    rows = _without_totals(sheet)
-    matched = lookup(rows, "Sector", sector, "Name", "ID_Sector", "Sector_ID_Sector", "accent_fold", "inner")
-    matched = lookup(
-        matched,
-        "Country",
-        country,
-        "Name",
-        "ID_Country",
-        "Country_ID_Country",
-        "accent_fold",
-        "inner",
-        names_from=rows,
-    )
+    rows = _sheet_rows(sheet, years)
+    for m in sheet_matches(country, sector):
+        rows = lookup(rows, m.name, m.dimension, m.dimension_name, m.dimension_id, m.out, m.rule, "inner")
+    return _melted(rows, years)
+
+
+def sheet_matches(country: DataFrame, sector: DataFrame) -> list[Match]:
+    """The two columns of names of the sector sheet, the sector first."""
+    return [
+        Match("Sector", sector, "ID_Sector", "Sector_ID_Sector", kind="sector"),
+        Match("Country", country, "ID_Country", "Country_ID_Country", kind="country"),
+    ]
+
+
+@contextmanager
+def sector_emissions_and_gaps(
+    sheet: DataFrame, country: DataFrame, sector: DataFrame, years: Window = WINDOWS["Sector_Country"]
+) -> Iterator[Matched]:
+    """``sector_emissions`` together with the names it could not match, from one pass over the sheet."""
+    with match_and_report(_sheet_rows(sheet, years), sheet_matches(country, sector)) as found:
+        yield Matched(_melted(found.rows, years), found.unmatched)
+
+
+def _sheet_rows(sheet: DataFrame, years: Window) -> DataFrame:
+    return _without_totals(sheet).select("Sector", "Country", *[f"`{y}`" for y in year_columns(sheet, *years)])
+
+
+def _melted(matched: DataFrame, years: Window) -> DataFrame:
+    columns = year_columns(matched, *years)
     typed = matched.select(
         "Sector_ID_Sector", "Country_ID_Country", *[F.col(f"`{y}`").cast("double").alias(y) for y in columns]
     )
@@ -317,6 +333,8 @@ def _refuse_cut_names(names: DataFrame, name: str) -> None:
 def load_all(spark: SparkSession, raw: RawInputs, store: PanelStore) -> None:
     """Dimensions, then bridges, then indicators; safe to repeat.
 
+    Names of the sheet that no dimension knows are kept as the report of Sector_Country.
+
     A sheet in which two rows fold to one sector and country has a repeated key, and so do
     names that agree in their first characters: both raise.
 
@@ -331,9 +349,9 @@ def load_all(spark: SparkSession, raw: RawInputs, store: PanelStore) -> None:
     store.insert_ignore("Sector", sectors(raw.sector_sheet))
     store.insert_ignore("Power Source", power_source_seed(spark))
     country, order = store.read("Country"), raw.order
-    store.upsert(
-        "Sector_Country", sector_emissions(raw.sector_sheet, country, store.read("Sector"), window["Sector_Country"])
-    )
+    with sector_emissions_and_gaps(raw.sector_sheet, country, store.read("Sector"), window["Sector_Country"]) as found:
+        store.upsert("Sector_Country", found.rows)
+        store.write_report("Sector_Country", found.unmatched)
     store.upsert(
         "Power Source_Country",
         source_emissions(raw.energy, country, store.read("Power Source"), source_labels(spark), order, window["Power Source_Country"]),

@@ -85,7 +85,10 @@ class PanelStore:
         with self._staged(spec, conform(rows, table)) as incoming:
             _refuse_repeats(spec, incoming)
             same = [incoming[f"`{k}`"] == F.col(f"old.`{k}`") for k in spec.key]
-            clash = incoming.join(self.read(table).alias("old"), same, "left_semi").first()
+            old = self.read(table)
+            if spec.partition:
+                old = old.where(F.col(f"`{spec.partition}`").isin(self._years(spec, incoming)))
+            clash = incoming.join(old.alias("old"), same, "left_semi").first()
             if clash:
                 raise RepeatedKey(f"{spec.name} has {_key_text(spec, clash)} already")
             self._write(spec, self._numbered(table, incoming), "append")
@@ -108,18 +111,31 @@ class PanelStore:
         spec = TABLES[table]
         with self._staged(spec, conform(rows, table)) as incoming:
             _refuse_repeats(spec, incoming)
-            # One aggregate over the batch's partition column; as a literal filter the years
-            # prune the table before its files are listed for reading.
-            year = F.col(f"`{spec.partition}`")
-            odd = incoming.where(~year.between(*YEARS)).first()
-            if odd:
-                raise ValueError(f"{spec.name}: {spec.partition} {odd[spec.partition]} is not within {YEARS}")
-            years = [y for (y,) in incoming.select(year).distinct().collect()]
+            year, years = F.col(f"`{spec.partition}`"), self._years(spec, incoming)
             touched = self.read(table).where(year.isin(years))
             numbered = self._numbered(table, incoming)
             merged = merge_rows(touched, numbered, spec.key, mode, keep=(spec.surrogate,))
             self._write(spec, merged, "overwrite")
 
+    def _years(self, spec: TableSpec, batch: DataFrame) -> list[int]:
+        """Years of a batch, by one aggregate over its partition column; as a literal filter they prune the table
+        before its files are listed for reading."""
+        year = F.col(f"`{spec.partition}`")
+        odd = batch.where(~year.between(*YEARS)).first()
+        if odd:
+            raise ValueError(f"{spec.name}: {spec.partition} {odd[spec.partition]} is not within {YEARS}")
+        return [y for (y,) in batch.select(year).distinct().collect()]
+
+    def write_report(self, table: str, found: DataFrame) -> None:
+        """What a load left out, kept beside the table in place of the report before: (kind, name, n_rows)."""
+        found.write.mode("overwrite").parquet(self._report_path(table))
+
+    def report(self, table: str) -> DataFrame:
+        return self.spark.read.schema("kind string, name string, n_rows long").parquet(self._report_path(table))
+
+    def _report_path(self, table: str) -> str:
+        return f"{self.root}/reports/{TABLES[table].folder}"
+
     @contextmanager
     def _staged(self, spec: TableSpec, rows: DataFrame) -> Iterator[DataFrame]:
         """The rows written once to the shared folder: checks, numbering and merging read them

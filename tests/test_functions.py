@@ -91,3 +91,13 @@ def test_ratio_and_share(spark):
 
 def test_nan_enters_as_null(spark):
     assert apply(spark, [1.0, math.nan, None], "double", fn.null_if_nan) == [1.0, None, None]
+
+
+def test_accent_fold_of_every_sign(spark):
+    signs = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    lines = ["".join(f"a{s}b" for s in signs[i : i + 64]) for i in range(0, len(signs), 64)]
+    got = apply(spark, lines, "string", fn.accent_fold)
+    assert got == [unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode().upper().strip() for s in lines]
+    alone = [s for s in signs if s.isspace() or ord(s) < 0x3000]
+    got = apply(spark, alone, "string", fn.accent_fold)
+    assert got == [unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode().upper().strip() for s in alone]

@@ -1,4 +1,5 @@
 import itertools
+import os
 import random
 from decimal import Decimal
 
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 
 from panelwright import operators as ops
 
+from test_plans import Reads, no_broadcast, planned  # noqa: F401
+
 
 def test_top_per_group_puts_nulls_first(spark):
     df = spark.createDataFrame([("a", 1, 5), ("a", 2, None), ("b", 3, 7), ("b", 4, 7)], "g string, id int, v int")
@@ -175,7 +178,6 @@ def test_lookup_rules(spark):
     assert found("accent_fold") == [
         ("Chad", 3), ("Mali", None), ("SÃO  TOMÉ", None), ("chad", 3), ("sao tome", 1), (None, 4),
     ]
-    assert found("accent_fold", names_repeat=False) == found("accent_fold")
     assert rows(ops.unmatched_names(df, "n", dim)) == [("Mali",), ("SÃO  TOMÉ",)]
 
 
@@ -238,3 +240,60 @@ def test_audit_of_gaps_types_and_repeats(spark):
         ("fact", "x in dim", "5.0000000000", 1),
     ]
     assert ops.audit({"dim": dims.limit(0)}, {"dim": dim}).collect() == []
+
+
+def test_match_and_report_in_one_pass(spark, tmp_path):
+    made = [("Sao Tome", "a", 1), ("são tomé", "A", 2), ("Nowhere", "a", 3), ("Nowhere", "lost", 4), ("Nowhere", "b", 5), (None, "b", 6), ("Chad", None, 7)]
+    spark.createDataFrame(made, "c string, s string, v int").write.parquet(str(tmp_path / "sheet"))
+    sheet = spark.read.parquet(str(tmp_path / "sheet"))
+    countries = spark.createDataFrame([(1, "São Tomé"), (2, "Chad")], "id int, Name string")
+    sectors = spark.createDataFrame([(7, "A"), (8, "B")], "id int, Name string")
+    matches = [ops.Match("s", sectors, "id", "s_id", kind="sector"), ops.Match("c", countries, "id", "c_id", kind="country")]
+    with Reads(spark) as reads, ops.match_and_report(sheet, matches) as found:
+        assert rows(found.rows.select("v", "s_id", "c_id")) == [(1, 7, 1), (2, 7, 1)]
+        assert rows(found.unmatched) == [("country", "Nowhere", 2), ("country", None, 1), ("sector", "lost", 1), ("sector", None, 1)]
+        assert sum(p.count(f"{tmp_path}/sheet") for p in reads.staged) + planned(found.rows).count("/sheet") + planned(found.unmatched).count("/sheet") == 1
+        path = found.rows.inputFiles()[0]
+    assert not os.path.exists(path.removeprefix("file://"))
+
+
+@pytest.fixture
+def hot_sides(spark):
+    """Key 7 has a third of the left rows and some right ones, 8 a third of the left alone, 9 is hot on the right alone."""
+    left = spark.range(0, 30_000, 1, 4).selectExpr("CASE id % 9 WHEN 0 THEN 7 WHEN 1 THEN 7 WHEN 2 THEN 7 WHEN 3 THEN 8 WHEN 4 THEN 8 WHEN 5 THEN NULL ELSE id END AS k", "'a' AS g", "id AS v")
+    right = spark.range(0, 9_000, 1, 3).selectExpr("CASE WHEN id % 3 = 0 THEN 9 WHEN id < 60 THEN 7 WHEN id % 7 = 0 THEN NULL ELSE id + 12000 END AS k", "'a' AS g", "id AS v")
+    return left, right
+
+
+def test_hot_keys_are_counted_exactly(spark, hot_sides):
+    found = ops.hot_keys(*hot_sides, ["k", "g"], hot_rows=500)
+    left, right = ([r.k for r in side.collect()] for side in hot_sides)
+    assert left.count(7) > 10_000 and right.count(9) > 2_900
+    assert rows(found.select("k", "n_left", "n_right")) == [(k, left.count(k), right.count(k)) for k in (7, 8, 9)]
+
+
+def test_skewed_outer_merge_equals_the_plain_one(spark, hot_sides):
+    left, right = hot_sides
+    for on in (["k", "g"], ["k"]):
+        want = ops.outer_merge(left, right, on)
+        for cells, least in ((50_000, 500), (1 << 20, 10**9)):
+            got = ops.outer_merge_skewed(left, right, on, cell_rows=cells, hot_rows=least)
+            assert sorted(got.columns) == sorted(want.columns)
+            got = got.select(*want.columns)
+            assert got.count() == want.count() and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_no_task_of_a_skewed_merge_is_much_larger(spark, no_broadcast):
+    """One key with a third of all rows: pairs spread over tasks, the largest under twice the median."""
+    left = spark.range(0, 60_000, 1, 4).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS v")
+    right = spark.range(0, 60_000, 1, 4).selectExpr("if(id < 30, 7, id) AS k", "id AS w")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        merged = ops.outer_merge_skewed(left, right, ["k"], cell_rows=2_000, hot_rows=1_000)
+        sizes = sorted(r["count"] for r in merged.where("k = 7").groupBy(F.spark_partition_id()).count().collect())
+        assert sum(sizes) == 20_001 * 30
+        assert len(sizes) >= 8 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+        plain = ops.outer_merge(left, right, ["k"]).where("k = 7").groupBy(F.spark_partition_id()).count()
+        assert plain.count() == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")

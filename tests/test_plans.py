@@ -7,8 +7,7 @@ from panelwright import operators as ops
 from panelwright.catalog.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
-PYTHON_ALLOWED = {"load_sector_country", "load_sector_country_gaps", "accent_fold_lookup", "unmatched_names"}
-WRITES = {"store_upsert", "append_bridge", "csv_round_trip", "report_with_preamble", "workbook_round_trip", "workbook_sectors"}
+WRITES = {"store_upsert", "append_bridge", "csv_round_trip", "report_with_preamble", "workbook_round_trip", "workbook_sectors", "load_sector_country_report"}
 
 
 def planned(df):
@@ -21,8 +20,7 @@ def test_every_plan_is_free_of_products_and_stray_python(spark):
             continue
         plan = planned(build(spark, SF))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
-        if name not in PYTHON_ALLOWED:
-            assert "Python" not in plan and "ExistingRDD" not in plan, name
+        assert "Python" not in plan and "ExistingRDD" not in plan, name
 
 
 @pytest.mark.parametrize("name", ["q2_intensity_topk", "q3_emission_breakdown", "q4_yearly_leaders", "q5_development_panel"])
