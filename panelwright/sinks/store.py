@@ -51,6 +51,24 @@ def _refuse_repeats(spec: TableSpec, batch: DataFrame) -> None:
         raise RepeatedKey(f"{found.n_rows} rows for {spec.name} have {_key_text(spec, found)}")
 
 
+def year_digests(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Per year what its rows hold whatever their order: their number, and two sums of hashes of 64 bits each.
+
+    A null hashes unlike the absence of a column, so that a value that moves to another column shows.
+    """
+    values = [F.struct(F.lit(i), F.col(f"`{c}`"), F.col(f"`{c}`").isNull()) for i, c in enumerate(spec.columns.fieldNames())]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *values).cast("decimal(20,0)")) for seed in (1, 2)]
+    return rows.groupBy(F.col(f"`{spec.partition}`").alias("year")).agg(
+        F.count(F.lit(1)).alias("n_rows"), *[s.cast("decimal(38,0)").alias(f"sum_{i}") for i, s in enumerate(sums)]
+    )
+
+
+def changed_years(before: DataFrame, after: DataFrame) -> list[int]:
+    """Years with another digest, or that one side lacks; as many rows as a batch has years."""
+    counted = before.unionByName(after).groupBy("year", "n_rows", "sum_0", "sum_1").agg(F.count(F.lit(1)).alias("n_sides"))
+    return sorted(y for (y,) in counted.where("n_sides = 1").select("year").distinct().collect())
+
+
 class PanelStore:
     """Create, read, append, insert-ignore and upsert the declared tables."""
 
@@ -99,23 +117,35 @@ class PanelStore:
         with self._staged(TABLES[table], new) as staged:
             self._write(TABLES[table], self._numbered(table, staged), "append")
 
-    def upsert(self, table: str, rows: DataFrame, mode: str = "keep_old") -> None:
-        """Merge rows into a fact, rewriting only the years they touch. A key that repeats raises.
+    def upsert(self, table: str, rows: DataFrame, mode: str = "keep_old") -> list[int]:
+        """Merge rows into a fact, rewriting only the years that change. A key that repeats raises.
 
         The incoming rows are written once to the shared folder, split by year, so the plan
         that produces them runs once. Old and new rows of the touched years then meet in
-        one full outer join on the key; other years are neither read nor written. As with
-        a database sequence, a row that only updates uses up its provisional number.
+        one full outer join on the key; other years are neither read nor written. A year whose
+        merged rows are those it had, by their digest, is not written: a load repeated writes
+        nothing. The years written are returned. Years that change are merged a second time as
+        they are written, the others are not. As with a database sequence, a row that only
+        updates uses up its provisional number.
         Years outside ``YEARS`` raise, so a garbled year column cannot become a list of folders.
         """
         spec = TABLES[table]
         with self._staged(spec, conform(rows, table)) as incoming:
             _refuse_repeats(spec, incoming)
             year, years = F.col(f"`{spec.partition}`"), self._years(spec, incoming)
-            touched = self.read(table).where(year.isin(years))
             numbered = self._numbered(table, incoming)
-            merged = merge_rows(touched, numbered, spec.key, mode, keep=(spec.surrogate,))
-            self._write(spec, merged, "overwrite")
+            old = self.read(table)
+
+            def merged(some: list[int]) -> DataFrame:
+                within = year.isin(some)
+                return merge_rows(old.where(within), numbered.where(within), spec.key, mode, keep=(spec.surrogate,))
+
+            before = year_digests(old.where(year.isin(years)), spec)
+            after = year_digests(merged(years).select(*[f"`{c}`" for c in old.columns]), spec)
+            changed = changed_years(before, after)
+            if changed:
+                self._write(spec, merged(changed), "overwrite")
+            return changed
 
     def _years(self, spec: TableSpec, batch: DataFrame) -> list[int]:
         """Years of a batch, by one aggregate over its partition column; as a literal filter they prune the table

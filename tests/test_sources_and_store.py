@@ -220,3 +220,48 @@ def test_staged_batches_are_removed(spark, tmp_path):
     store.upsert("Demography", _population(spark, [(1, 2000, 5)]))
     store.append("Demography", _population(spark, [(2, 2000, 5)]))
     assert set(os.listdir(base)) == before and store.read("Demography").count() == 2
+
+
+def _files(root):
+    return {(str(f), f.stat().st_mtime_ns) for f in root.rglob("*.parquet")}
+
+
+def test_a_second_identical_load_writes_no_file(spark, tmp_path):
+    store = PanelStore(spark, str(tmp_path))
+    store.create("Power Consumed")
+    made = [(1, y, 10.0 * y, None if y % 2 else 1.5) for y in range(2000, 2008)] + [(2, y, None, 2.5) for y in range(2000, 2004)]
+    batch = spark.createDataFrame(made, "Country_ID int, Year int, GWH double, PowerImport double")
+    assert store.upsert("Power Consumed", batch) == list(range(2000, 2008))
+    held, ids = _files(tmp_path), rows(store.read("Power Consumed"))
+    assert store.upsert("Power Consumed", batch) == []
+    assert store.upsert("Power Consumed", batch.where("Year = 2001").select("Country_ID", "Year")) == []
+    assert _files(tmp_path) == held and rows(store.read("Power Consumed")) == ids
+
+
+def test_one_changed_row_rewrites_one_year(spark, tmp_path):
+    store = PanelStore(spark, str(tmp_path))
+    store.create("Power Consumed")
+    batch = spark.createDataFrame([(c, y, 1.0, None) for c in (1, 2) for y in range(2000, 2006)], "Country_ID int, Year int, GWH double, PowerImport double")
+    store.upsert("Power Consumed", batch)
+    held = _files(tmp_path)
+    moved = batch.where("Country_ID = 2 AND Year = 2003").select("Country_ID", "Year", F.lit(None).cast("double").alias("GWH"), F.lit(1.0).alias("PowerImport"))
+    assert store.upsert("Power Consumed", moved.unionByName(batch.where("Year <> 2003")), mode="replace") == [2003]
+    left = {f for f in held if "Year=2003" not in f[0]}
+    assert left <= _files(tmp_path) and len(_files(tmp_path) - held) >= 1
+    assert store.upsert("Power Consumed", spark.createDataFrame([(3, 2010, 5.0)], "Country_ID int, Year int, GWH double")) == [2010]
+    found = store.read("Power Consumed").where("Year = 2003 AND Country_ID = 2").first()
+    assert (found.GWH, found.PowerImport) == (None, Decimal("1.00"))
+    assert store.read("Power Consumed").selectExpr("count(distinct ID_Consumed)", "count(*)").first() == (13, 13)
+
+
+def test_append_reads_only_the_years_of_the_batch(spark, tmp_path, monkeypatch):
+    store = PanelStore(spark, str(tmp_path))
+    store.create("Sector_Country")
+    made = spark.createDataFrame([(1, 1, y, 1.0) for y in range(2000, 2010)], "Sector_ID_Sector int, Country_ID_Country int, Year int, CO2_Emission double")
+    store.append("Sector_Country", made)
+    plans, first = [], type(made).first
+    monkeypatch.setattr(type(made), "first", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), first(df))[1])
+    with pytest.raises(RepeatedKey):
+        store.append("Sector_Country", made.where("Year = 2005"))
+    joined = [p for p in plans if "LeftSemi" in p]
+    assert joined and all("Year#" in p.split("PartitionFilters: [")[1].split("]")[0] and "2005" in p for p in joined)
