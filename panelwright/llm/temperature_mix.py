@@ -13,11 +13,14 @@ blocks in order until its quota is used: block totals tell which blocks are in,
 block on the edge is summed document by document. So a source with a third of all rows is
 never gathered in one place; the largest group is one block.
 
-Defined results: a null source is a source of its own. Null and empty texts have no tokens
-and ride along with their block. A document is taken in the last epoch if it ends within the
-quota, so no source exceeds it. If the budget is above what the limit allows even at a = 1,
-a is 1. Repeated rows are separate documents of the source. An empty table, or one without
-tokens, gives no rows.
+Defined results: a null source is a source of its own. A document is taken in the last epoch if
+it begins within the quota, so a source gets its quota and at most the rest of the one document that
+crosses it, however long; a source whose only document is above its quota is in the mixture. Null
+and empty texts have no tokens and ride along with their block. A source without any tokens has no
+share to be given, and its documents are left out. If the budget is above what the limit allows even
+at a = 1, a is 1. Repeated rows are separate documents of the source; of rows that agree in id, source
+and text the first by a hash of all columns have the copies that can't be shared out evenly. An empty
+table, or one without tokens, gives no rows.
 """
 
 from __future__ import annotations
@@ -123,7 +126,7 @@ def mixture(docs: DataFrame, budget: int | None = None, entropy: float = ENTROPY
         "of", "block", F.col("full").alias("epoch"), F.coalesce(F.sum("in_block").over(before), F.lit(0)).alias("before")
     )
     chosen = dealt.join(edges, ["of", "block", "epoch"], "left").where(
-        (F.col("epoch") < F.col("full")) | ((F.col("rest") > 0) & (F.col("before") + F.col("sum_in") <= F.col("rest")))
+        (F.col("epoch") < F.col("full")) | ((F.col("rest") > 0) & (F.col("before") + F.col("sum_in") - F.col("n_tokens") < F.col("rest")))
     )
     return chosen.select("doc_id", "source", "key", "n_tokens", "epoch", "block_order", "place")
 
@@ -141,6 +144,6 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     if counts.where("rows > 1").isEmpty():
         joined = joined.withColumn("nth", F.lit(1))
     else:
-        joined = joined.withColumn("nth", F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0))))
+        joined = joined.withColumn("nth", F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64("row"))))
     times = F.expr("copies div rows + if(nth <= copies % rows, 1, 0)")
     return joined.withColumn("times", times).where("times > 0").withColumn("copy", F.explode(F.expr("sequence(1L, times)"))).select("row.*")

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from panelwright.llm import byte_bpe, byte_gru, pii_votes, quality_ordinal, temperature_mix
 
@@ -165,7 +166,7 @@ def test_mixture_meets_its_quotas(spark, block):
         copies[r.source][r.doc_id] += 1
         assert r.n_tokens == tokens[r.doc_id]
     for s, q in quota.items():
-        assert q - 40 <= used[s] <= q  # the next document in turn would not fit
+        assert q <= used[s] < q + 40  # the last document in turn begins within the quota
         full = q // total[s]
         ids = [i for i, source, _ in rows if source == s]
         assert all(full <= copies[s][i] <= full + 1 for i in ids if tokens[i])
@@ -177,6 +178,48 @@ def test_mixture_meets_its_quotas(spark, block):
     assert entropy >= temperature_mix.ENTROPY * math.log(4) - 0.01 or repeats > temperature_mix.EPOCHS - 0.05
 
 
+def replayed(spark, rows, budget, block, seed=temperature_mix.SEED):
+    """The mixture by walking each source's permutation document by document; only the hashes are Spark's."""
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    totals = docs.select(temperature_mix._source().alias("of"), temperature_mix.token_count().alias("n")).groupBy("of").sum("n").toDF("of", "tokens")
+    quota, total, tokens = mix_by_hand(rows, budget, temperature_mix.exponent(totals, budget))
+    sizes = Counter(s for _, s, _ in rows)
+    place = {s: (quota[s] // total[s], quota[s] % total[s], -(-sizes[s] // block)) for s in quota}
+    ends = spark.createDataFrame([(s, full, blocks) for s, (full, _, blocks) in place.items()], "s string, full long, blocks long")
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    hashed = docs.join(ends, F.col("source").eqNullSafe(F.col("s"))).withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id", key), "blocks"))
+    order = F.xxhash64(F.lit(seed), "full", temperature_mix._source(), "block").alias("order")
+    turn = F.xxhash64(F.lit(seed + 1), "full", "doc_id", key).alias("turn")
+    walk = sorted(tuple(r) for r in hashed.select(order, "block", turn, "doc_id", "source").collect())
+    copies, so_far = Counter(), Counter()
+    for _, _, _, i, s in walk:
+        copies[i] += place[s][0] + (so_far[s] < place[s][1])
+        so_far[s] += tokens[i]
+    return quota, tokens, +copies
+
+
+CASES = {
+    "one long document among short ones": [(i, "a", "w " * 10) for i in range(2000)] + [(5000 + i, "b", "w " * 10) for i in range(40)] + [(6000, "b", "w " * 3000)],
+    "a single document above its quota": [(i, "a", "w " * 10) for i in range(200)] + [(900, "b", "w " * 900)],
+    "a source without tokens": [(i, "a", "w " * (i % 9)) for i in range(300)] + [(500, "none", ""), (501, "none", None), (502, None, "x y")],
+}
+
+
+@pytest.mark.parametrize("name, budget", zip(CASES, (6000, 1000, 1500)))
+def test_mixture_walks_its_permutation(spark, name, budget):
+    rows = CASES[name]
+    quota, tokens, want = replayed(spark, rows, budget, 7)
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    found = Counter(r.doc_id for r in temperature_mix.mixture(docs, budget, block=7).collect())
+    assert found == want
+    used = Counter()
+    for i, s, _ in rows:
+        used[s] += found[i] * tokens[i]
+    longest = {s: max(tokens[i] for i, t, _ in rows if t == s) for s in quota}
+    assert all(q <= used[s] < q + longest[s] for s, q in quota.items() if q)
+    assert "none" not in {s for i, s, _ in rows if found[i]}
+
+
 def test_exponent_by_entropy_and_by_limit(spark):
     totals = spark.createDataFrame([("a", 900), ("b", 90), ("c", 10)], "of string, tokens long")
     share = np.array([0.9, 0.09, 0.01])
