@@ -646,6 +646,14 @@ FROM power_consumed"""),
 SELECT {_ACCENTED.format('p_type')} AS "Sector", {_ACCENTED.format("plain")} AS "Country",
        CAST("Year" + 5 AS VARCHAR) AS "Year", ("CO2_Emission" * 100)::DOUBLE / 1024 AS emission
 FROM sector_country JOIN known ON "ID_Country" = "Country_ID_Country" WHERE "Year" + 5 BETWEEN 2001 AND 2005"""),
+    "ordered_export": """SELECT row_number() OVER (ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey) - 1 AS place,
+       o_orderkey, o_totalprice, o_orderpriority FROM orders""",
+    "melt_by_header": f"""SELECT l_suppkey, (l_partkey % 997 + 1000)::INTEGER AS "Year", (sum({_QUANTITY}) * 100)::BIGINT AS quantity
+FROM lineitem WHERE l_partkey % 997 <= 990 GROUP BY ALL""",
+    "upsert_changed_years": _with_scaled("""
+SELECT "Year", count(*) AS n_rows, (sum("GWH") + CASE WHEN "Year" = 1998 THEN count(*) ELSE 0 END)::DOUBLE AS gwh,
+       FALSE AS again, "Year" = 1998 AS written
+FROM power_consumed GROUP BY 1"""),
     "workbook_round_trip": "SELECT * FROM orders",
     "workbook_sectors": _LOADS["load_sector_country"],
     "report_with_preamble": _with_panel(r"""

@@ -24,12 +24,13 @@ from panelwright.functions import (
 )
 from panelwright.plans import loads, questions, tidy
 from panelwright.plans.star_panel import StarPanel, cents, from_cents, name_id
-from panelwright.session import shared_folder
+from panelwright.session import folder_exists, shared_folder
 from panelwright.schema import TABLES, TableSpec
-from panelwright.sinks import PanelStore, write_result_csv
+from panelwright.sinks import PanelStore, write_ordered_csv, write_result_csv
 from panelwright.sinks.store import RepeatedKey
 from panelwright.sources import (
     literal_rows,
+    melt_delimited,
     power_source_seed,
     read_delimited,
     read_sheet_export,
@@ -226,36 +227,42 @@ def load_demography(panel: StarPanel) -> DataFrame:
     return loads.demography(raw.development_index(panel), raw.known_countries(panel), raw.SEQ)
 
 
-_LOADED: dict[tuple[str, str], PanelStore] = {}
+def _load(panel: StarPanel) -> PanelStore:
+    """The whole ordered load into fresh tables."""
+    scaled = raw.ScaledPanel(panel.spark, panel.folder, share=True)
+    store = PanelStore(panel.spark, shared_folder(panel.spark))
+    inputs = loads.RawInputs(
+        country_list=raw.known_countries(panel).withColumnRenamed("Name", "Table Name"),
+        sector_sheet=raw.sector_sheet(scaled),
+        energy=raw.energy_release(scaled),
+        emissions=raw.emission_rows(scaled),
+        development_index=raw.development_index(scaled),
+        poverty_1=raw.poverty_1(scaled),
+        poverty_2=raw.poverty_2(scaled),
+        investment=raw.investment_rows(scaled),
+        consumption=raw.consumption_rows(scaled),
+        order=raw.SEQ,
+    )
+    loads.load_all(panel.spark, inputs, store)
+    return store
+
+
+_LOADED: dict[tuple[object, ...], PanelStore] = {}
 
 
 def _loaded(panel: StarPanel) -> PanelStore:
-    """The whole ordered load into fresh tables, once for each session and folder."""
-    place = (panel.spark.sparkContext.applicationId, panel.folder)
-    if place not in _LOADED:
-        scaled = raw.ScaledPanel(panel.spark, panel.folder, share=True)
-        store = PanelStore(panel.spark, shared_folder(panel.spark))
-        inputs = loads.RawInputs(
-            country_list=raw.known_countries(panel).withColumnRenamed("Name", "Table Name"),
-            sector_sheet=raw.sector_sheet(scaled),
-            energy=raw.energy_release(scaled),
-            emissions=raw.emission_rows(scaled),
-            development_index=raw.development_index(scaled),
-            poverty_1=raw.poverty_1(scaled),
-            poverty_2=raw.poverty_2(scaled),
-            investment=raw.investment_rows(scaled),
-            consumption=raw.consumption_rows(scaled),
-            order=raw.SEQ,
-        )
-        loads.load_all(panel.spark, inputs, store)
-        _LOADED[place] = store
-    return _LOADED[place]
+    """Loaded tables that the stored questions share, as long as the files behind them and the store are the same."""
+    state = (panel.spark.sparkContext.applicationId, panel.folder, *panel.files())
+    store = _LOADED.get(state)
+    if store is None or not folder_exists(panel.spark, store.path("Country")):
+        store = _LOADED[state] = _load(panel)
+    return store
 
 
 @_register
 def load_everything(panel: StarPanel) -> DataFrame:
     """The whole load: per table and measure rows, countries, surrogate keys and the sum."""
-    return reduce(DataFrame.unionAll, [s for t, df in _loaded(panel).panel().items() for s in _table_sums(t, df)])
+    return reduce(DataFrame.unionAll, [s for t, df in _load(panel).panel().items() for s in _table_sums(t, df)])
 
 
 def _table_sums(table: str, df: DataFrame) -> list[DataFrame]:
@@ -337,7 +344,9 @@ def unpivot_years(panel: StarPanel) -> DataFrame:
     """Quantities shipped per supplier, a column per year, made long with nulls dropped."""
     shipped = panel.star("lineitem").select("l_suppkey", F.year("l_shipdate").alias("y"), cents("l_quantity").alias("q"))
     first, last = shipped.agg(F.min("y"), F.max("y")).first()
-    years = [str(y) for y in range(first, last + 1)]
+    years = [str(y) for y in range(first, last + 1)] if first is not None else []
+    if not years:
+        return panel.spark.createDataFrame([], "l_suppkey long, Year int, quantity decimal(20,2)")
     wide = shipped.groupBy("l_suppkey").agg(*[from_cents(F.sum(F.when(F.col("y") == int(y), F.col("q")))).alias(y) for y in years])
     long = ops.unpivot_columns(wide, ["l_suppkey"], years, "Year", "quantity", drop_nulls=True)
     return long.withColumn("Year", F.col("Year").cast("int"))
@@ -629,6 +638,20 @@ def store_upsert(panel: StarPanel) -> DataFrame:
     )
 
 
+@_register
+def upsert_changed_years(panel: StarPanel) -> DataFrame:
+    """The same rows upserted again and then with one year changed: what is stored, and the years written last."""
+    store = PanelStore(panel.spark, shared_folder(panel.spark))
+    store.create("Power Consumed")
+    rows = raw.ScaledPanel(panel.spark, panel.folder, share=True)["Power Consumed"]
+    store.append("Power Consumed", rows)
+    again = store.upsert("Power Consumed", rows)
+    more = F.when(F.col("Year") == 1998, F.col("GWH") + 1).otherwise(F.col("GWH")).cast("decimal(12,2)")
+    written = store.upsert("Power Consumed", rows.withColumn("GWH", more))
+    by_year = store.read("Power Consumed").groupBy("Year").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("GWH").alias("gwh"))
+    return by_year.withColumns({"again": F.col("Year").isin(again), "written": F.col("Year").isin(written)})
+
+
 @_register
 def append_bridge(panel: StarPanel) -> DataFrame:
     """A bridge filled by appends; a batch that repeats stored keys is refused and changes nothing."""
@@ -683,6 +706,33 @@ def sheet_round_trip(panel: StarPanel) -> DataFrame:
     )
 
 
+@_register
+def ordered_export(panel: StarPanel) -> DataFrame:
+    """Every order exported in the order of its price with a row index, read back."""
+    path, orders = shared_folder(panel.spark), panel.star("orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    write_ordered_csv(orders, path, [F.col("o_totalprice").desc_nulls_first(), F.col("o_orderkey")])
+    read = panel.spark.read.schema("place long, o_orderkey long, o_totalprice double, o_orderpriority string")
+    return read.option("escape", '"').csv(path).where(F.col("place").isNotNull())
+
+
+@_register
+def melt_by_header(panel: StarPanel) -> DataFrame:
+    """Quantities of each order line, a column for every part number, written wide and melted by the header alone."""
+    path = shared_folder(panel.spark)
+    lines = panel.star("lineitem").select("l_suppkey", (F.col("l_partkey") % 997 + 1000).alias("column"), cents("l_quantity").alias("q"))
+    summed = lines.groupBy("l_suppkey", "column").agg(F.sum("q").alias("q"))
+    cells = F.map_from_entries(F.collect_list(F.struct("column", F.col("q").cast("string"))))
+    wide = summed.groupBy("l_suppkey").agg(cells.alias("cells"))
+    columns = F.sequence(F.lit(1000), F.lit(1996))
+    body = F.array_join(F.transform(columns, lambda c: F.coalesce(F.element_at("cells", c.cast("bigint")), F.lit(""))), ",")
+    header = F.concat(F.lit("l_suppkey,note,"), F.array_join(F.transform(columns, lambda c: c.cast("string")), ","))
+    text = wide.select(F.concat(F.col("l_suppkey").cast("string"), F.lit(',"a ""b"", c",'), body).alias("value"))
+    text.write.text(f"{path}/rows")
+    panel.spark.range(1).select(header.alias("value")).write.text(f"{path}/header")
+    long = melt_delimited(panel.spark, f"{path}/rows", ["l_suppkey"], 1000, 1990, "Year", "quantity", header=f"{path}/header")
+    return long.select(F.col("l_suppkey").cast("bigint").alias("l_suppkey"), F.col("Year").cast("int").alias("Year"), F.col("quantity").cast("bigint").alias("quantity"))
+
+
 @_register
 def workbook_round_trip(panel: StarPanel) -> DataFrame:
     """Every order through workbooks, one a partition, read in ranges of rows with a declared schema."""

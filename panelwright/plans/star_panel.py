@@ -102,6 +102,19 @@ class StarPanel(Mapping[str, DataFrame]):
     def star(self, table: str) -> DataFrame:
         return self.spark.read.schema(STAR_SCHEMAS[table]).parquet(f"{self.folder}/{table}.parquet")
 
+    def files(self) -> list[tuple[str, int, int]]:
+        """Path, length and time of every file behind the star tables: changes when their rows do."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        found = []
+        for table in STAR_SCHEMAS:
+            place = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{table}.parquet")
+            fs = place.getFileSystem(conf)
+            listed = fs.listFiles(place, True) if fs.exists(place) else None
+            while listed is not None and listed.hasNext():
+                f = listed.next()
+                found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        return sorted(found)
+
     # ------------------------------------------------------------ shared steps
 
     @cached_property

@@ -51,6 +51,11 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/panelwright-{uuid.uuid4().hex}"
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared file system that nothing reads any more."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

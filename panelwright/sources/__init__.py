@@ -2,6 +2,7 @@ from panelwright.sources.files import (
     FILE_ORDER,
     clean_headers,
     keep_existing,
+    melt_delimited,
     read_delimited,
     read_sheet_export,
     read_with_preamble,
@@ -26,6 +27,7 @@ __all__ = [
     "clean_headers",
     "keep_existing",
     "literal_rows",
+    "melt_delimited",
     "pick",
     "power_source_seed",
     "read_delimited",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -83,15 +83,14 @@ def _clean_header(label: str) -> str:
 
 def year_columns(df: DataFrame, first: int = 2000, last: int = 2023) -> list[str]:
     """Headers that read as a year within the range. Looks at metadata only."""
-    found = []
-    for label in df.columns:
-        try:
-            year = int(float(label))
-        except (ValueError, OverflowError):
-            continue
-        if first <= year <= last:
-            found.append(label)
-    return found
+    return [label for label in df.columns if _is_year(label, first, last)]
+
+
+def _is_year(label: str, first: int, last: int) -> bool:
+    try:
+        return first <= int(float(label)) <= last
+    except (ValueError, OverflowError):
+        return False
 
 
 def read_sheet_export(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
@@ -100,6 +99,53 @@ def read_sheet_export(spark: SparkSession, path: str, format: str = "csv") -> Da
     return clean_headers(reader.format(format).load(path))
 
 
+#: Cells of a line: after its start or a comma, in quotes or bare.
+_CELLS = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
+
+
+def _cells(line: Column) -> Column:
+    """The cells of a delimited line as an array, quotes taken off."""
+    bare = lambda c: F.when(c.startswith('"'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
+    return F.transform(F.regexp_extract_all(line, F.lit(_CELLS), F.lit(1)), bare)
+
+
+def melt_delimited(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    ids: Sequence[str],
+    first: int = 2000,
+    last: int = 2023,
+    names_to: str = "Year",
+    values_to: str = "value",
+    header: str | None = None,
+) -> DataFrame:
+    """A wide delimited file made long in one scan, by its header line alone.
+
+    A line stays an array of cells, paired with the header and exploded, so that thousands of year
+    columns need no schema and no column each. All files carry the same header, which is read once and left
+    out wherever it stands, or ``header`` is the path of a file that has it in their place; headers are
+    cleaned. Year columns between ``first`` and ``last`` become
+    rows, in text as the ids; empty cells are dropped, cells that a line lacks too. A cell holds no line break.
+    """
+    lines = spark.read.text(path)
+    top = (lines if header is None else spark.read.text(header)).first()
+    if top is None:
+        return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in (*ids, names_to, values_to)]))
+    labels = [_clean_header(c) for c in spark.range(1).select(_cells(F.lit(top.value)).alias("c")).first().c]
+    missing = [c for c in ids if c not in labels]
+    if missing:
+        raise ValueError(f"no column {missing} in {path}")
+    wanted = [i for i, label in enumerate(labels) if _is_year(label, first, last)]
+    rows = lines.where((F.col("value") != top.value) & (F.trim("value") != "")).select(_cells(F.col("value")).alias("cells"))
+    if not wanted:
+        return rows.where("false").select(*[F.lit("").alias(c) for c in (*ids, names_to, values_to)])
+    pairs = F.arrays_zip(F.lit([labels[i] for i in wanted]).alias("n"), F.lit([i + 1 for i in wanted]).alias("i"))
+    held = F.transform(pairs, lambda p: F.struct(p["n"].alias("n"), F.nullif(F.try_element_at("cells", p["i"]), F.lit("")).alias("v")))
+    own = [F.nullif(F.try_element_at("cells", F.lit(labels.index(c) + 1)), F.lit("")).alias(c) for c in ids]
+    long = rows.select(*own, F.explode(F.filter(held, lambda x: x["v"].isNotNull())).alias("x"))
+    return long.select(*[f"`{c}`" for c in ids], F.col("x.n").alias(names_to), F.col("x.v").alias(values_to))
+
+
 def keep_existing(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     """The wanted columns that exist, in the wanted order."""
     return df.select(*[F.col(f"`{c}`") for c in wanted if c in df.columns])

@@ -8,6 +8,7 @@ from panelwright.catalog.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
 WRITES = {"store_upsert", "append_bridge", "csv_round_trip", "report_with_preamble", "workbook_round_trip", "workbook_sectors", "load_sector_country_report"}
+WRITES |= {"ordered_export", "melt_by_header", "upsert_changed_years"}
 
 
 def planned(df):

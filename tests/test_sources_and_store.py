@@ -12,7 +12,7 @@ from panelwright.operators import audit, first_per_key
 from panelwright.schema import TABLES
 from panelwright.session import shared_folder
 from panelwright.sinks.store import RepeatedKey
-from panelwright.sinks import PanelStore, conform, write_result_csv
+from panelwright.sinks import PanelStore, conform, write_ordered_csv, write_result_csv
 
 REPORT = """Table 1: Index: some countries ,,,,,
 ,,SDG 1.2,,,
@@ -265,3 +265,45 @@ def test_append_reads_only_the_years_of_the_batch(spark, tmp_path, monkeypatch):
         store.append("Sector_Country", made.where("Year = 2005"))
     joined = [p for p in plans if "LeftSemi" in p]
     assert joined and all("Year#" in p.split("PartitionFilters: [")[1].split("]")[0] and "2005" in p for p in joined)
+
+
+def test_melt_of_thousands_of_columns_in_one_scan(spark, tmp_path):
+    years = range(0, 5000)
+    header = '"Country ",Code,' + ",".join(f"{y}.0" for y in years)
+    lines = [f'"A ""x"", b",{c},' + ",".join(str(y) if (y + c) % 3 else "" for y in years) for c in range(20)]
+    for n, part in enumerate((lines[:7], lines[7:], [])):
+        (tmp_path / f"f{n}.csv").write_text("\n".join([header, *part, ""]), encoding="utf-8")
+    long = sources.melt_delimited(spark, str(tmp_path), ["Country", "Code"], 10, 4000)
+    want = sorted(('A "x", b', str(c), str(y), str(y)) for c in range(20) for y in range(10, 4001) if (y + c) % 3)
+    assert sorted(tuple(r) for r in long.collect()) == want
+    plan = long._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_melt_of_odd_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,2001,note,2000\n1,,"a, 2001",7\n\n2,5\n,,,\n"3","","",""\n4,1,2,3,9\n', encoding="utf-8")
+    assert rows(sources.melt_delimited(spark, str(tmp_path), ["id"])) == [("1", "2000", "7"), ("2", "2001", "5"), ("4", "2000", "3"), ("4", "2001", "1")]
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "e.csv").write_text("", encoding="utf-8")
+    assert sources.melt_delimited(spark, str(tmp_path / "e"), ["id"]).collect() == []
+    assert rows(sources.melt_delimited(spark, str(tmp_path / "a.csv"), ["id"], 1900, 1910)) == []
+    with pytest.raises(ValueError, match="no column"):
+        sources.melt_delimited(spark, str(tmp_path / "a.csv"), ["ID"])
+
+
+def test_files_of_an_ordered_export_put_together_are_the_sorted_result(spark, tmp_path):
+    made = [(i, f'n "{i % 9}", x' if i % 4 else None, None if i % 5 == 0 else i / 2) for i in range(1000)]
+    df = spark.createDataFrame(made, "`row id` long, name string, v double").repartition(5)
+    write_ordered_csv(df, str(tmp_path / "out"), [F.col("v").desc_nulls_first(), "row id"], files=6)
+    parts = sorted((tmp_path / "out").glob("part-*"))
+    assert sum(p.stat().st_size > 0 for p in parts) > 3
+    text = "".join(p.read_text(encoding="utf-8") for p in parts)
+    want = sorted(made, key=lambda r: (r[2] is not None, -(r[2] or 0), r[0]))
+    import csv
+    import io
+
+    found = list(csv.reader(io.StringIO(text)))
+    assert found[0] == ["", "row id", "name", "v"]
+    assert found[1:] == [[str(k), str(i), n or "", "" if v is None else str(v)] for k, (i, n, v) in enumerate(want)]
+    write_ordered_csv(df.limit(0), str(tmp_path / "none"), ["v"], index=False)
+    assert "".join(p.read_text() for p in (tmp_path / "none").glob("part-*")) == "row id,name,v\n"
