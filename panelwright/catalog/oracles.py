@@ -541,6 +541,12 @@ l AS (SELECT "Country_ID_Country", "Year", sum("CO2_Emission")::DOUBLE AS emissi
 r AS (SELECT "Country_ID_Country", "Year" + 2 AS "Year", sum("CO2_Emission")::DOUBLE AS emission_source
       FROM power_source_country GROUP BY ALL)
 SELECT * FROM l FULL JOIN r USING ("Country_ID_Country", "Year")"""),
+    "fan_out_three_sides": """
+SELECT (s_suppkey % 17)::INTEGER AS number, sum((s_acctbal * 100)::DECIMAL(14, 0)::BIGINT)::BIGINT AS supplier_cents,
+       sum((c_acctbal * 100)::DECIMAL(14, 0)::BIGINT)::BIGINT AS customer_cents,
+       sum((p_retailprice * 100)::DECIMAL(14, 0)::BIGINT)::BIGINT AS part_cents, count(*) AS n_rows
+FROM supplier JOIN customer ON s_suppkey % 17 = c_custkey % 17 JOIN part ON s_suppkey % 17 = p_partkey % 17
+WHERE p_size > 10 GROUP BY s_suppkey % 17""",
     "outer_merge_hot_key": """
 WITH l AS (
   SELECT CASE WHEN l_tax = 0 THEN NULL WHEN l_returnflag = 'R' THEN 7 ELSE l_suppkey END AS key, l_orderkey, l_linenumber,

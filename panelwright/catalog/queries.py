@@ -377,6 +377,18 @@ def outer_merge_measures(panel: StarPanel) -> DataFrame:
     return ops.outer_merge(sector, source, ["Country_ID_Country", "Year"], ("_sector", "_source"))
 
 
+@_register
+def fan_out_three_sides(panel: StarPanel) -> DataFrame:
+    """Balances and list prices over the join of suppliers, customers and parts that share a number, never formed."""
+    number = lambda c: F.pmod(F.col(c), F.lit(17)).cast("int")
+    sides = [
+        (panel.star("supplier").withColumn("number", number("s_suppkey")), {"supplier_cents": cents("s_acctbal")}),
+        (panel.star("customer").withColumn("number", number("c_custkey")), {"customer_cents": cents("c_acctbal")}),
+        (panel.star("part").where("p_size > 10").withColumn("number", number("p_partkey")), {"part_cents": cents("p_retailprice")}),
+    ]
+    return ops.fan_out_sums(sides, ["number"], "n_rows")
+
+
 @_register
 def outer_merge_hot_key(panel: StarPanel) -> DataFrame:
     """Every line beside its supplier, three suppliers on: returned lines, a third of all, name one supplier, lines

@@ -1,5 +1,6 @@
 from panelwright.operators.aggregates import (
     conditional_sums,
+    fan_out_sums,
     leader,
     side_totals,
     sum_by_dimension,
@@ -35,6 +36,7 @@ __all__ = [
     "audit",
     "conditional_sums",
     "dense_keys",
+    "fan_out_sums",
     "first_per_key",
     "foreign_key_orphans",
     "hot_keys",

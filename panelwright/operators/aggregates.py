@@ -70,6 +70,32 @@ def side_totals(side: DataFrame, keys: Sequence[str], sums: Mapping[str, Column]
     )
 
 
+def fan_out_sums(
+    sides: Sequence[tuple[DataFrame, Mapping[str, Column]]], keys: Sequence[str], rows: str | None = None
+) -> DataFrame:
+    """Sums over the inner join of any number of many-to-many sides, which is never formed.
+
+    Each side comes with its named measures and the shared key columns. A row of one side stands in the
+    join once for every way to pick a row with its key from each other side, so a side's sum is multiplied
+    by the row counts of all others. Every side collapses to one row a key inside its tasks first; what is
+    joined has one row a key, however hot the key. ``rows`` names the number of joined rows. A key that
+    some side lacks, or with a null in it, drops out; a sum without any value stays null. Sums stay
+    decimals where their measures are.
+    """
+    count = [f"_rows_{i}" for i in range(len(sides))]
+    small = [side_totals(df.dropna(subset=list(keys)), [f"`{k}`" for k in keys], sums, n) for (df, sums), n in zip(sides, count)]
+    joined = reduce(lambda a, b: a.join(b, on=list(keys)), small)
+
+    def times(c: Column, others: Sequence[str]) -> Column:
+        return reduce(lambda x, n: x * F.col(n), others, c)
+
+    products = [
+        times(F.col(f"`{name}`"), [n for n in count if n != own]).alias(name) for (_, sums), own in zip(sides, count) for name in sums
+    ]
+    whole = [times(F.col(count[0]), count[1:]).alias(rows)] if rows else []
+    return joined.select(*[f"`{k}`" for k in keys], *products, *whole)
+
+
 def union_distinct(*frames: DataFrame) -> DataFrame:
     """UNION: duplicates go inside each task first, then in one shuffle over all inputs."""
     return reduce(DataFrame.union, frames).distinct()

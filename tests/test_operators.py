@@ -297,3 +297,18 @@ def test_no_task_of_a_skewed_merge_is_much_larger(spark, no_broadcast):
         assert plain.count() == 1
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_three_sides_equal_the_written_out_join(spark):
+    rng = random.Random(9)
+    made = [[(rng.choice([1, 2, 3, 4, None]), rng.choice(["a", "b"]), rng.choice([None, 1, 5, 7])) for _ in range(n)] for n in (60, 9, 25, 3)]
+    sides = [spark.createDataFrame(m, f"k int, g string, v{i} int") for i, m in enumerate(made)]
+    for n in (1, 2, 3, 4):
+        got = ops.fan_out_sums([(s, {f"s{i}": F.col(f"v{i}")}) for i, s in enumerate(sides[:n])], ["k", "g"], "n_rows")
+        joined = sides[0].dropna(subset=["k"])
+        for s in sides[1:n]:
+            joined = joined.join(s, ["k", "g"])
+        want = joined.groupBy("k", "g").agg(*[F.sum(f"v{i}").alias(f"s{i}") for i in range(n)], F.count(F.lit(1)).alias("n_rows"))
+        assert rows(got) == rows(want)
+    plan = planned(ops.fan_out_sums([(s, {f"s{i}": F.col(f"v{i}")}) for i, s in enumerate(sides)], ["k", "g"]))
+    assert plan.count("partial_sum") == 4
