@@ -9,9 +9,11 @@ from that a probability for each pattern; a logistic span classifier is trained
 soft labels with votes and shape as features, and decides which candidates are added.
 
 The votes of all documents are counted by Spark (kind x pattern x shape: a few thousand
-combinations at most, whatever the input), and only these counts reach the driver.
+combinations at most, whatever the input), and only these counts reach the driver. They enter as
+shares, beside a fixed belief in each labeler: how large a table is does not decide about a span.
 
-Defined results: a null text counts as empty and has no spans. Offsets are code points, end
+Defined results: a null text counts as empty and has no spans. Scanning takes time in proportion to the
+text, long runs without blanks too. A number of 13 digits or more that fails the Luhn check is no candidate. Offsets are code points, end
 exclusive. Added spans never overlap a base span or one another. n_* and base_sha256 speak of
 base spans alone; spans lists all. Repeated rows give repeated results, an empty table none.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,13 +35,20 @@ from panelwright.llm.common import pieces, stage
 KINDS = ("email", "ip", "card", "phone")
 THRESHOLD = 0.8  # probability from which a candidate is added
 ROUNDS = 50
+TRUST = 40.0  # spans that the belief in a labeler weighs
+MASS = 40.0  # and all spans of a table together, however many there are
 _REACH = 40  # code points of context before a span
 
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# Whether a run of signs belongs to a match hangs on what follows the run, not on where in it the match begins. So
+# a match begins at the start of its run (or where the one before ended), and runs are never given back: linear in the text.
+_ADDRESS = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+_EMAIL, _NEXT_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])" + _ADDRESS), re.compile(_ADDRESS)
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_WIDE_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+ ?[\[(] ?(?:at|@) ?[\])] ?[A-Za-z0-9-]+(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]+)+", re.I)
+_WIDE_EMAIL = re.compile(
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(] ?(?:at|@) ?[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]++)++", re.I
+)
 _WIDE_NUMBER = re.compile(r"(?<![0-9A-Za-z.+-])[(0-9](?:[ ().-]{0,2}[0-9]){6,18}(?![0-9A-Za-z]|[.-][0-9])")
 _CUES = {
     "email": re.compile(r"mail|contact|write|schreib|correo|courriel", re.I),
@@ -64,12 +74,20 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    m = _EMAIL.search(text)
+    while m:
+        yield m.span()
+        m = _NEXT_EMAIL.match(text, m.end()) or _EMAIL.search(text, m.end())
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """The fixed patterns, leftmost and non-overlapping per kind; failing matches are dropped."""
     out = []
     if "@" in text:
-        out += [("email", *m.span()) for m in _EMAIL.finditer(text)]
-    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        out += [("email", *span) for span in _emails(text)]
+    parts = lambda m: [p.lstrip("0") for p in m[0].split(".")]
+    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts(m))]
     for m in _CARD.finditer(text):
         d = _digits(m[0])
         if 13 <= len(d) <= 19 and luhn(d):
@@ -82,16 +100,25 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """What the wider patterns propose beside the base spans."""
     taken = sorted((s, e) for _, s, e in base)
-    out = []
+    starts, reach, far = [s for s, _ in taken], [], 0
+    for _, e in taken:
+        far = max(far, e)
+        reach.append(far)
     wide = [("email", m) for m in _WIDE_EMAIL.finditer(text)] if "(" in text or "[" in text else []
     for m in _WIDE_NUMBER.finditer(text):
-        n = len(_digits(m[0]))
-        wide.append(("card" if n >= 13 else "phone", m))
-    for kind, m in wide:
+        digits = _digits(m[0])
+        if len(digits) < 13:
+            wide.append(("phone", m))
+        elif luhn(digits):  # a number that fails the check is no card, whatever stands around it
+            wide.append(("card", m))
+    out: list[tuple[str, int, int]] = []
+    last = 0
+    for kind, m in sorted(wide, key=lambda x: (x[1].start(), x[0])):
         s, e = m.span()
-        if all(e <= a or b <= s for a, b in taken):
+        before = bisect_left(starts, e)  # base spans that begin before this one ends
+        if s >= last and (not before or reach[before - 1] <= s):
             out.append((kind, s, e))
-            taken.append((s, e))
+            last = e
     return out
 
 
@@ -174,23 +201,26 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_scan, f"doc_id {kind}, {_SPANS}")
 
 
-def reliabilities(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """EM over vote patterns (n x labelers): P(vote | not, yes) per labeler, and P(yes) per pattern."""
-    lean = (patterns == 2).sum(axis=1) - (patterns == 1).sum(axis=1)
-    p = 1 / (1 + np.exp(-lean.astype(float)))
+def reliabilities(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS, trust: float = 4.0) -> tuple[np.ndarray, np.ndarray]:
+    """EM over vote patterns (n x labelers): P(vote | not, yes) per labeler, and P(yes) per pattern.
+
+    It starts from the belief that a labeler which says something is right five times of six, which weighs
+    as ``trust`` spans throughout.
+    """
+    belief = np.empty((2, patterns.shape[1], 3))
+    belief[0], belief[1] = (0.4, 0.5, 0.1), (0.4, 0.1, 0.5)
+    table, prior = belief, np.array([0.5, 0.5])
     for _ in range(rounds):
-        weight = np.stack([counts * (1 - p), counts * p])
-        table = np.ones((2, patterns.shape[1], 3))  # one vote of each kind beforehand
-        for v in range(3):
-            table[:, :, v] += weight @ (patterns == v)
-        table[1, :, 2] += 2  # and labelers are taken to be better than chance
-        table[0, :, 1] += 2
-        table /= table.sum(axis=2, keepdims=True)
-        prior = (weight.sum(axis=1) + 1) / (weight.sum() + 2)
         odds = np.log(prior[1] / prior[0]) + sum(
             np.log(table[1, j, patterns[:, j]] / table[0, j, patterns[:, j]]) for j in range(patterns.shape[1])
         )
         p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        weight = np.stack([counts * (1 - p), counts * p])
+        table = trust * belief
+        for v in range(3):
+            table[:, :, v] += weight @ (patterns == v)
+        table /= table.sum(axis=2, keepdims=True)
+        prior = (weight.sum(axis=1) + trust / 2) / (weight.sum() + trust)
     return table, p
 
 
@@ -220,7 +250,8 @@ def fit(counted: list[tuple[int, int, int, int]]) -> dict[tuple[int, int, int],
             continue
         patterns = np.array([_unpack(r[1]) for r in rows])
         counts = np.array([r[3] for r in rows], float)
-        _, soft = reliabilities(patterns, counts)
+        # A table and the same table a thousand times over give the same probabilities.
+        _, soft = reliabilities(patterns, MASS * counts / counts.sum(), trust=TRUST)
         x = np.array([_features(r[1], r[2]) for r in rows])
         w = classifier(x, soft, counts)
         p = 1 / (1 + np.exp(-np.clip(np.c_[x, np.ones(len(x))] @ w, -30, 30)))

@@ -205,7 +205,7 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("name, budget", zip(CASES, (6000, 1000, 1500)))
+@pytest.mark.parametrize("name, budget", list(zip(CASES, (6000, 1000, 1500))))
 def test_mixture_walks_its_permutation(spark, name, budget):
     rows = CASES[name]
     quota, tokens, want = replayed(spark, rows, budget, 7)
@@ -373,5 +373,39 @@ def test_reliabilities_find_the_better_labeler():
     assert np.mean([(by[tuple(v)] > 0.5) == t for v, t in zip(votes.tolist(), truth)]) > 0.93
 
 
+@pytest.mark.parametrize("unit", ["a", "7", "ab(", "1.", "a@", "+1(", "x.", "0 ", "a@b.c_", "5-5-", "(at)", "a [at] b", "12 345-6789 ", "0" * 5000 + "1."])
+def test_spans_of_a_megabyte_of_anything_in_linear_time(unit):
+    import time
+
+    for text in (unit * (1_000_000 // len(unit)), "@ (" + unit * (1_000_000 // len(unit)) + " a@b.cc"):
+        start = time.process_time()
+        base = pii_votes.base_spans(text)
+        pii_votes.candidates(text, base)
+        assert time.process_time() - start < 6  # quadratic scans take minutes
+
+
+def test_base_spans_of_touching_runs():
+    rng = np.random.default_rng(8)
+    for alphabet in ("a@.b_ ", "1. 2", "+1( ).", "a@b.c-1 +(["):
+        for _ in range(3000):
+            text = "".join(rng.choice(list(alphabet), rng.integers(0, 24)))
+            assert sorted(pii_votes.base_spans(text)) == sorted(base_by_hand(text)), text
+
+
+ADDED = ["phone (555) 123-4567", "call me: 212-555-0187", "tel. 415.555.2671 now", "card 4111.1111.1111.1111", "mail bob [at] site [dot] com", "contact eve (at) mail.org", "fax (030) 555 1234"]
+REFUSED = ["order no. 12 3456789", "version 1.2345678", "key 98.70157079", "card 9870157079875996", "token 1 2 3 4 5 6 7 8 9", "page 1234567", "secret 4111.1111.1111.1112"]
+
+
+@pytest.mark.parametrize("times", [1, 400])
+def test_what_is_added_does_not_hang_on_the_size_of_the_table(spark, times):
+    lines = [*ADDED, *REFUSED, "write to a.b@c.com", "visa 4111 1111 1111 1111", "phone +1 555 010 9999", "host 10.0.0.7", "nothing at all"]
+    docs = spark.createDataFrame([(i + 100 * k, t) for k in range(times) for i, t in enumerate(lines)], "doc_id long, text string")
+    found = {r.doc_id: r for r in pii_votes.find_personal_data(docs).collect()}
+    spans = [found[i].spans for i in range(len(lines))]
+    more = [bool(s) and not (r.n_email or r.n_ip or r.n_card or r.n_phone) for s, r in zip(spans, (found[i] for i in range(len(lines))))]
+    assert more[: len(ADDED)] == [True] * len(ADDED)
+    assert more[len(ADDED) : len(ADDED) + len(REFUSED)] == [False] * len(REFUSED)
+
+
 def test_mask():
     assert pii_votes.mask("to a@b.cc or +1 555 010 9999.", "email:3:9,phone:13:28") == "to [email] or [phone]."
