@@ -23,6 +23,8 @@ strings never cross documents and are judged on the input.
    written front to back into new ones, in sequence; a bucket's bounded size lets them stay in
    memory. Neighbours with a common prefix of LENGTH / SYMBOL symbols are equal windows; a
    class that stands for two places or more recurs. So does a pair of hashes counted twice.
+   Before that, segments are cut down to the parts whose words all stand for two places or more,
+   as no other part can hold a window that recurs: most segments only share their anchor.
 4. Shards get back which windows of their segments recur, and remove what they cover.
 
 Nothing is capped. Equal segments count once with a weight, so large groups of copies do not
@@ -294,15 +296,58 @@ def collection(bodies: list[bytes], length: int = LENGTH, symbol: int = SYMBOL)
     return body[owner[long]], phase[owner[long]] + (count[owner[long]] - symbols[long]) * symbol, shared[long]
 
 
+def shared_parts(
+    bodies: list[bytes], times: np.ndarray, length: int = LENGTH, symbol: int = SYMBOL
+) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The parts of the strings in which each word of ``symbol`` bytes may stand for two places or more.
+
+    A window that recurs holds no other word, so it lies inside such a part, and nothing is lost with what
+    lies between. Words are counted by hash in a table a few times their number: words that share a
+    place there may keep a part too many, which the columns then sort out. Returns the different parts,
+    and for each place of one its number, the string it lies in and where in it it begins.
+    """
+    size = np.array([len(b) for b in bodies], np.int64)
+    starts = np.r_[0, np.cumsum(size)[:-1]]
+    joined = b"".join(bodies)
+    raw = np.frombuffer(joined + bytes(symbol), np.uint8)
+    none = np.zeros(0, np.int64)
+    if not len(joined):
+        return [], none, none, none
+    bits = np.uint64(max(8, int(4 * len(joined)).bit_length()))
+    word = (mix(_words(raw, symbol)) >> (np.uint64(64) - bits)).astype(np.int64)
+    body = np.repeat(np.arange(len(bodies)), size)
+    whole = np.arange(len(joined)) + symbol <= (starts + size)[body]
+    counted = np.bincount(word[whole], weights=times[body[whole]], minlength=1 << int(bits))
+    recurs = whole & (counted[word] >= 2)
+    edge = np.diff(np.r_[0, recurs.astype(np.int8), 0])
+    low, high = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    on = high - low > length - symbol
+    low, high = low[on], high[on] + symbol - 1
+    number: dict[bytes, int] = {}
+    part = np.array([number.setdefault(joined[i:j], len(number)) for i, j in zip(low.tolist(), high.tolist())], np.int64)
+    return list(number), part, body[low], low - starts[body[low]]
+
+
 def recurring_windows(bodies: list[bytes], times: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Windows (body, start) whose string stands for two places or more."""
-    body, start, shared = collection(bodies, length)
-    if not len(body):
-        return body, start
+    """Windows (body, start) whose string stands for two places or more.
+
+    Columns are built over the shared parts alone, equal ones once with the places that they stand for.
+    """
+    parts, part, owner, offset = shared_parts(bodies, times, length)
+    own, start, shared = collection(parts, length)
+    if not len(own):
+        return own, start
+    stands = np.bincount(part, weights=times[owner], minlength=len(parts)).astype(np.int64)
     heads = np.flatnonzero(np.r_[True, shared[1:] < length // SYMBOL])
-    weight = np.add.reduceat(times[body], heads)
-    keep = np.repeat(weight >= 2, np.diff(np.r_[heads, len(body)]))
-    return body[keep], start[keep]
+    weight = np.add.reduceat(stands[own], heads)
+    keep = np.repeat(weight >= 2, np.diff(np.r_[heads, len(own)]))
+    own, start = own[keep], start[keep]
+    # from each part to its places
+    by_part = np.argsort(part, kind="stable")
+    first = np.searchsorted(part[by_part], own)
+    n = np.searchsorted(part[by_part], own, "right") - first
+    at = by_part[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())]
+    return owner[at], np.repeat(start, n) + offset[at]
 
 
 _RANGES = "shard int, ids array<bigint>, lows array<int>, highs array<int>, h array<bigint>, g array<bigint>"
