@@ -302,9 +302,9 @@ def shared_parts(
     """The parts of the strings in which each word of ``symbol`` bytes may stand for two places or more.
 
     A window that recurs holds no other word, so it lies inside such a part, and nothing is lost with what
-    lies between. Words are counted by hash in a table a few times their number: words that share a
-    place there may keep a part too many, which the columns then sort out. Returns the different parts,
-    and for each place of one its number, the string it lies in and where in it it begins.
+    lies between. Words are counted in a table a few times their number first, where some share a place, and
+    what is left of them one by one. Returns the different parts, and for each place of one its number,
+    the string it lies in and where in it it begins.
     """
     size = np.array([len(b) for b in bodies], np.int64)
     starts = np.r_[0, np.cumsum(size)[:-1]]
@@ -314,15 +314,27 @@ def shared_parts(
     if not len(joined):
         return [], none, none, none
     bits = np.uint64(max(8, int(4 * len(joined)).bit_length()))
-    word = (mix(_words(raw, symbol)) >> (np.uint64(64) - bits)).astype(np.int64)
+    words = _words(raw, symbol)
+    word = (mix(words) >> (np.uint64(64) - bits)).astype(np.int64)
     body = np.repeat(np.arange(len(bodies)), size)
     whole = np.arange(len(joined)) + symbol <= (starts + size)[body]
-    counted = np.bincount(word[whole], weights=times[body[whole]], minlength=1 << int(bits))
-    recurs = whole & (counted[word] >= 2)
-    edge = np.diff(np.r_[0, recurs.astype(np.int8), 0])
-    low, high = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    on = high - low > length - symbol
-    low, high = low[on], high[on] + symbol - 1
+    weight = times[body]
+
+    def runs(recurs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        edge = np.diff(np.r_[0, recurs.astype(np.int8), 0])
+        low, high = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        on = high - low > length - symbol
+        return low[on], high[on]
+
+    counted = np.bincount(word[whole], weights=weight[whole], minlength=1 << int(bits))
+    low, high = runs(whole & (counted[word] >= 2))
+    # now by the words themselves, so that equal parts end alike
+    left = _windows(low, high)
+    _, rank = np.unique(words[left], return_inverse=True)
+    recurs = np.zeros(len(joined), bool)
+    recurs[left] = np.bincount(rank, weights=weight[left])[rank] >= 2 if len(left) else False
+    low, high = runs(recurs)
+    high = high + symbol - 1
     number: dict[bytes, int] = {}
     part = np.array([number.setdefault(joined[i:j], len(number)) for i, j in zip(low.tolist(), high.tolist())], np.int64)
     return list(number), part, body[low], low - starts[body[low]]
