@@ -16,15 +16,16 @@ from panelwright.session import remove_folder, shared_folder
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """The table's columns that ``df`` has, cast to their declared types.
+    """The table's columns that ``df`` has, cast to the types the store keeps.
 
     A value that does not fit its type fails the job, as it would fail an insert, and so
     does a null in the partition column.
     """
     spec = TABLES[table]
+    kept = spec.kept
 
     def typed(name: str) -> Column:
-        c = F.col(f"`{name}`").cast(spec.columns[name].dataType)
+        c = F.col(f"`{name}`").cast(kept[name].dataType)
         if name == spec.partition:
             missing = F.raise_error(F.lit(f"null {name} in {table}")).cast("int")
             c = F.when(c.isNull(), missing).otherwise(c)
@@ -83,7 +84,7 @@ class PanelStore:
         """Create the tables that do not exist yet."""
         for table in tables or TABLES:
             spec = TABLES[table]
-            empty = [F.lit(None).cast(c.dataType).alias(c.name) for c in spec.columns]
+            empty = [F.lit(None).cast(c.dataType).alias(c.name) for c in spec.kept]
             writer = self.spark.range(0).select(*empty).write.mode("ignore")
             if spec.partition:
                 writer = writer.partitionBy(spec.partition)
@@ -91,7 +92,7 @@ class PanelStore:
 
     def read(self, table: str) -> DataFrame:
         spec = TABLES[table]
-        rows = self.spark.read.schema(spec.columns).parquet(self.path(table))
+        rows = self.spark.read.schema(spec.kept).parquet(self.path(table))
         return rows.select(*[f"`{c}`" for c in spec.columns.fieldNames()])
 
     def panel(self) -> dict[str, DataFrame]:
@@ -189,7 +190,7 @@ class PanelStore:
         full = rows.select(
             *[
                 F.col(f"`{c.name}`") if c.name in rows.columns else F.lit(None).cast(c.dataType).alias(c.name)
-                for c in spec.columns
+                for c in spec.kept
             ]
         )
         writer = _writer(full, spec).mode(mode).option("partitionOverwriteMode", "dynamic")

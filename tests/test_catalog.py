@@ -55,6 +55,25 @@ def larger(tmp_path_factory):
     return str(folder)
 
 
+@pytest.fixture(scope="module")
+def crowded(tmp_path_factory):
+    """Two nations with all the orders of three years, 48 times each, and prices to match: figures past the declared digits."""
+    folder = tmp_path_factory.mktemp("crowded")
+    con = views(SF)
+    changed = {
+        "nation": "SELECT * FROM nation",
+        "customer": "SELECT * REPLACE ((11 + 3 * (c_custkey % 2))::INTEGER AS c_nationkey) FROM customer",
+        "supplier": "SELECT * REPLACE ((11 + 3 * (s_suppkey % 2))::INTEGER AS s_nationkey) FROM supplier",
+        "orders": """SELECT * EXCLUDE (i) REPLACE (o_orderkey + 1500 * i AS o_orderkey, (TIMESTAMP '1999-03-01' + INTERVAL 1 YEAR * (o_orderkey % 3)) AS o_orderdate)
+                     FROM orders, range(48) AS r(i)""",
+        "lineitem": "SELECT * REPLACE (l_extendedprice * 2000 AS l_extendedprice) FROM lineitem",
+        "part": "SELECT * FROM part",
+    }
+    for table, sql in changed.items():
+        con.execute(f"COPY ({sql}) TO '{folder}/{table}.parquet' (FORMAT parquet)")
+    return str(folder)
+
+
 def compare(df, cur, in_order):
     columns = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(columns)
@@ -106,6 +125,16 @@ def test_later_years_more_nations_and_segments_lose_no_row(spark, larger, name):
     compare(QUERIES[name](spark, larger), views(larger).execute(ORACLES[name]), False)
 
 
+@pytest.mark.parametrize("name", ["load_everything", *(f"stored_q{i}" for i in range(1, 7))])
+def test_figures_past_the_declared_digits_load_whole(spark, crowded, name):
+    """The SQL with room for the figures: as written, its casts to numeric(6, 2) and numeric(15, 10) refuse them."""
+    if name == "load_everything":
+        assert QUERIES["load_development"](spark, crowded).where("IDH >= 10000").count() > 0
+        assert QUERIES["load_environmental"](spark, crowded).where("CO2_Emision >= 10000000000").count() > 0
+    sql = ORACLES[name].replace("DECIMAL(6, 2)", "DECIMAL(18, 2)").replace("DECIMAL(15, 10)", "DECIMAL(28, 10)")
+    compare(QUERIES[name](spark, crowded), views(crowded).execute(sql), name in ORDERED)
+
+
 def test_the_larger_star_reaches_the_results(spark, larger):
     assert QUERIES["unpivot_years"](spark, larger).where("Year = 2004").count() > 0
     emissions = QUERIES["tidy_emissions"](spark, larger)

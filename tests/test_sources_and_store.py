@@ -147,6 +147,25 @@ def test_conform_rejects_what_does_not_fit(spark):
         conform(undated, "Demography").collect()
 
 
+def test_figures_past_the_declared_digits_are_kept_whole_and_audited(spark, tmp_path):
+    """Counts and totals outgrow numeric(6, 2) and numeric(15, 10); the audit says so, the load goes on."""
+    store = PanelStore(spark, str(tmp_path / "panel"))
+    old = spark.createDataFrame([(1, Decimal("9.50"), 2000, 7)], "ID_Development int, IDH decimal(6,2), Ano int, Country_ID int")
+    old.write.partitionBy("Ano").parquet(store.path("Development"))  # as a store before kept it
+    store.upsert("Development", spark.createDataFrame([(7, 2000, None, 3), (8, 2000, 52500, 10_000)], "Country_ID int, Ano int, IDH long, Health long"))
+    got = store.read("Development")
+    assert rows(got.select("Country_ID", "IDH", "Health")) == [(7, Decimal("9.50"), Decimal(3)), (8, Decimal(52500), Decimal(10_000))]
+    store.create("Environmental Indicator")
+    store.upsert("Environmental Indicator", spark.createDataFrame([(7, 2000, 125656.36)], "Country_ID int, Year int, CO2_Emision double"))
+    total = store.read("Environmental Indicator")
+    assert rows(total.select("CO2_Emision")) == [(Decimal("125656.36"),)]
+    assert rows(audit({"Development": got, "Environmental Indicator": total})) == [
+        ("Development", "precision", "Health", 1),
+        ("Development", "precision", "IDH", 1),
+        ("Environmental Indicator", "precision", "CO2_Emision", 1),
+    ]
+
+
 def test_audit_names_table_rule_and_rows(spark):
     panel = {
         "Country": spark.createDataFrame([(1, "a"), (2, "a"), (3, "x" * 101)], "ID_Country int, Name string"),
