@@ -733,18 +733,28 @@ def melt_by_header(panel: StarPanel) -> DataFrame:
     path = shared_folder(panel.spark)
     lines = panel.star("lineitem").select("l_suppkey", (F.col("l_partkey") % 997 + 1000).alias("column"), cents("l_quantity").alias("q"))
     summed = lines.groupBy("l_suppkey", "column").agg(F.sum("q").alias("q"))
-    cells = F.map_from_entries(F.collect_list(F.struct("column", F.col("q").cast("string"))))
-    wide = summed.groupBy("l_suppkey").agg(cells.alias("cells"))
     columns = F.sequence(F.lit(1000), F.lit(1996))
-    body = F.array_join(F.transform(columns, lambda c: F.coalesce(F.element_at("cells", c.cast("bigint")), F.lit(""))), ",")
     header = F.concat(F.lit("l_suppkey,note,"), F.array_join(F.transform(columns, lambda c: c.cast("string")), ","))
-    text = wide.select(F.concat(F.col("l_suppkey").cast("string"), F.lit(',"a ""b"", c",'), body).alias("value"))
-    text.write.text(f"{path}/rows")
+    _wide_lines(summed, 1000, 1996).write.text(f"{path}/rows")
     panel.spark.range(1).select(header.alias("value")).write.text(f"{path}/header")
     long = melt_delimited(panel.spark, f"{path}/rows", ["l_suppkey"], 1000, 1990, "Year", "quantity", header=f"{path}/header")
     return long.select(F.col("l_suppkey").cast("bigint").alias("l_suppkey"), F.col("Year").cast("int").alias("Year"), F.col("quantity").cast("bigint").alias("quantity"))
 
 
+def _wide_lines(summed: DataFrame, first: int, last: int) -> DataFrame:
+    """A line of text for each supplier with a cell for every column: what it holds in their order, each after the commas
+    of the columns since the one before, so that a line costs its cells and no column is looked up."""
+    column = F.col("column")
+    held = F.array_sort(F.collect_list(F.when(column.between(first, last), F.struct("column", F.col("q").cast("string").alias("q")))))
+    wide = summed.groupBy("l_suppkey").agg(held.alias("held"))
+    at = F.concat(F.array(F.lit(first).cast("bigint")), F.transform("held", lambda x: x["column"]))
+    commas = lambda n: F.repeat(F.lit(","), n.cast("int"))
+    cell = lambda x, before: F.concat(commas(x["column"] - before), F.coalesce(x["q"], F.lit("")))
+    cells = F.array_join(F.zip_with("held", F.slice(at, 1, F.size("held")), cell), "")
+    body = F.concat(cells, commas(F.lit(last) - F.element_at(at, -1)))
+    return wide.select(F.concat(F.col("l_suppkey").cast("string"), F.lit(',"a ""b"", c",'), body).alias("value"))
+
+
 @_register
 def workbook_round_trip(panel: StarPanel) -> DataFrame:
     """Every order through workbooks, one a partition, read in ranges of rows with a declared schema."""

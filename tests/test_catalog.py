@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry_file
 from panelwright.catalog.oracles import all_oracles
-from panelwright.catalog.queries import all_queries
+from panelwright.catalog.queries import _wide_lines, all_queries
 from panelwright.plans.star_panel import StarPanel
 
 SF = "/root/testdata/sf0.001"
@@ -141,3 +141,22 @@ def test_the_larger_star_reaches_the_results(spark, larger):
     assert emissions.where("Country = 'NATION_30' AND ELUC IS NOT NULL").count() > 0
     assert QUERIES["load_sector_country"](spark, larger).where("Country_ID_Country = 30 AND Year = 2009").count() > 0
     assert QUERIES["seed_recode"](spark, larger).where("c_mktsegment = 'SPACE'").count() == 1
+
+
+def test_melt_by_header_over_gaps_and_unknown_parts(spark, tmp_path):
+    """First and last columns, gaps, a supplier of left-out columns alone and lines without a part."""
+    made = [(1, 0), (1, 990), (1, 7), (1, 7 + 997), (2, 996), (3, 991), (3, 500), (4, None), (5, None), (5, 1)]
+    con, file = duckdb.connect(), tmp_path / "lineitem.parquet"
+    con.execute("CREATE TABLE made (l_suppkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE)")
+    con.executemany("INSERT INTO made VALUES (?, ?, ?)", [(s, p, i + 1.25) for i, (s, p) in enumerate(made)])
+    con.execute(f"COPY made TO '{file}' (FORMAT parquet)")
+    compare(QUERIES["melt_by_header"](spark, str(tmp_path)), views(str(tmp_path)).execute(ORACLES["melt_by_header"]), False)
+
+
+def test_wide_lines_look_no_column_up(spark):
+    """A look-up of 997 columns in a map of a supplier's cells takes their product."""
+    summed = spark.createDataFrame([(1, 1001, 5), (1, 1003, None), (1, 999, 2), (1, 1005, 2), (2, None, 3)], "l_suppkey long, column long, q long")
+    lines = _wide_lines(summed, 1000, 1004)
+    assert sorted(r.value for r in lines.collect()) == ['1,"a ""b"", c",,5,,,', '2,"a ""b"", c",,,,,']
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_from_entries" not in plan and "element_at(cells" not in plan
