@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.llm.common import stage, unstage
-from panelwright.llm.shards import _ODD, QUESTION, answer, answered, flat, look_up, mix, question, sharded, sliding, span_hashes
+from panelwright.llm.shards import _ODD, QUESTION, answer, answered, flat, look_up, mix, question, run_hashes, sharded, sliding, span_hashes
 
 LENGTH = 200
 GRAM = 32
@@ -65,9 +65,7 @@ class Bytes:
         raw = np.frombuffer(self.data, np.uint8)
         self.ends = np.cumsum([len(t) + 1 for t in texts])
         self.begins = np.r_[0, self.ends[:-1]]
-        n = max(0, len(raw) - gram + 1)
-        at = np.arange(n)
-        self.grams = span_hashes(_TABLE[raw], at, at + gram)
+        self.grams = run_hashes(_TABLE[raw], gram)
         self.width = length - gram + 1
         self.least = sliding(self.grams, self.width)
         self.doc = np.repeat(np.arange(len(texts)), self.ends - self.begins)
@@ -219,8 +217,7 @@ def _words(raw: np.ndarray, symbol: int) -> np.ndarray:
     """The word of so many bytes at every place, as a number: its bytes if they fit, else their hash."""
     n = len(raw) - symbol
     if symbol > 8:
-        at = np.arange(n)
-        return span_hashes(_TABLE[raw], at, at + symbol)
+        return run_hashes(_TABLE[raw], symbol)[:n]
     windows = np.lib.stride_tricks.sliding_window_view(raw, symbol)[:n]
     wide = np.zeros((n, 8), np.uint8)
     wide[:, 8 - symbol :] = windows
@@ -257,11 +254,12 @@ def collection(bodies: list[bytes], length: int = LENGTH, symbol: int = SYMBOL)
         on = np.flatnonzero(count >= k)
         c = ranks[base[on] + (count[on] - k) * symbol]
         pos = place[on]
-        order = np.lexsort((pos, c))
+        key = (c.astype(np.int64) << 32) | pos  # all different, as each string has its own place
+        order = np.argsort(key)
         on, c, pos = on[order], c[order], pos[order]
         total = len(first)
         old_key = (first.astype(np.int64) << 32) | tail
-        at = np.searchsorted(old_key, (c.astype(np.int64) << 32) | pos)
+        at = np.searchsorted(old_key, key[order])
         new_place = (at + np.arange(len(on))).astype(np.int32)
         moved = (np.arange(total) + np.cumsum(np.bincount(at, minlength=total + 1))[:total]).astype(np.int32)
 
@@ -275,8 +273,10 @@ def collection(bodies: list[bytes], length: int = LENGTH, symbol: int = SYMBOL)
         shared_before = shared
         shared = merged(shared, 0)
         # common prefixes change where a suffix came in, and just after it
-        check = np.unique(np.r_[new_place, new_place + 1])
-        check = check[(check > 0) & (check < len(first))]
+        changed = np.zeros(len(first) + 1, bool)
+        changed[new_place] = changed[new_place + 1] = True
+        changed[0] = changed[-1] = False
+        check = np.flatnonzero(changed)
         same = first[check] == first[check - 1]
         same &= first[check] >= 0
         low, high = tail_before[check[same] - 1] + 1, tail_before[check[same]] + 1
@@ -315,10 +315,10 @@ def shared_parts(
         return [], none, none, none
     bits = np.uint64(max(8, int(4 * len(joined)).bit_length()))
     words = _words(raw, symbol)
-    word = (mix(words) >> (np.uint64(64) - bits)).astype(np.int64)
-    body = np.repeat(np.arange(len(bodies)), size)
-    whole = np.arange(len(joined)) + symbol <= (starts + size)[body]
-    weight = times[body]
+    word = ((words if symbol > 8 else mix(words)) >> (np.uint64(64) - bits)).view(np.int64)  # long words are hashes
+    held = np.maximum(size - symbol + 1, 0)  # words of a string
+    whole = np.repeat(np.tile([True, False], len(bodies)), np.stack([held, size - held], 1).ravel())
+    often = np.repeat(times >= 2, size)
 
     def runs(recurs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         edge = np.diff(np.r_[0, recurs.astype(np.int8), 0])
@@ -326,18 +326,24 @@ def shared_parts(
         on = high - low > length - symbol
         return low[on], high[on]
 
-    counted = np.bincount(word[whole], weights=weight[whole], minlength=1 << int(bits))
-    low, high = runs(whole & (counted[word] >= 2))
+    # a word stands for two places or more if it is there twice, or in a string that does
+    twice = np.bincount(word[whole], minlength=1 << int(bits)) >= 2
+    twice[word[whole & often]] = True
+    low, high = runs(whole & twice[word])
     # now by the words themselves, so that equal parts end alike
     left = _windows(low, high)
-    _, rank = np.unique(words[left], return_inverse=True)
     recurs = np.zeros(len(joined), bool)
-    recurs[left] = np.bincount(rank, weights=weight[left])[rank] >= 2 if len(left) else False
+    if len(left):
+        _, rank = np.unique(words[left], return_inverse=True)
+        twice = np.bincount(rank) >= 2
+        twice[rank[often[left]]] = True
+        recurs[left] = twice[rank]
     low, high = runs(recurs)
+    owner = np.searchsorted(starts, low, "right") - 1
     high = high + symbol - 1
     number: dict[bytes, int] = {}
     part = np.array([number.setdefault(joined[i:j], len(number)) for i, j in zip(low.tolist(), high.tolist())], np.int64)
-    return list(number), part, body[low], low - starts[body[low]]
+    return list(number), part, owner, low - starts[owner]
 
 
 def recurring_windows(bodies: list[bytes], times: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:

@@ -34,9 +34,12 @@ def sharded(docs: DataFrame, size: int = SHARD_BYTES) -> tuple[DataFrame, int]:
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= _MIX[0]
+    x ^= x >> np.uint64(27)
+    x *= _MIX[1]
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +62,15 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base:
     return mix((total[ends] - total[starts]) * down[starts])
 
 
+def run_hashes(values: np.ndarray, width: int, base: int = _ODD) -> np.ndarray:
+    """``span_hashes`` of every run of ``width`` values."""
+    n = max(0, len(values) - width + 1)
+    up, down = _powers(len(values) + 1, base)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[:-1], out=total[1:])
+    return mix((total[width : width + n] - total[:n]) * down[:n])
+
+
 def sliding(values: np.ndarray, width: int, least: bool = True) -> np.ndarray:
     """Least (or most) of each run of ``width`` values."""
     pick = np.minimum if least else np.maximum

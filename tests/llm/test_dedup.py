@@ -372,3 +372,24 @@ def test_empty_tables(spark, apply):
 
 def test_empty_vectors(spark):
     assert metric_join.linked_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
+
+
+def test_hashes_of_runs_and_windows_of_short_empty_and_repeated_strings():
+    """Words are hashed by slices of the prefix sums; a string that stands for two places recurs, short ones hold no window."""
+    from panelwright.llm.column_bwt import recurring_windows
+    from panelwright.llm.shards import run_hashes, span_hashes
+
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 39, 40, 41, 500):
+        values, at = rng.integers(0, 1 << 63, n, dtype=np.uint64), np.arange(max(0, n - 39))
+        assert (run_hashes(values, 40) == span_hashes(values, at, at + 40)).all()
+    raw = [bytes(rng.integers(97, 100, k, dtype=np.uint8)) for k in (0, 10, 199, 200, 260, 300, 0)]
+    bodies = [*raw, raw[5][20:290] + raw[4], raw[4][5:] + b"x", b"q" * 240]
+    times = np.array([3, 2, 2, 1, 1, 2, 1, 1, 1, 1], np.int64)
+    counts = Counter()
+    for body, k in zip(bodies, times.tolist()):
+        for i in range(len(body) - 199):
+            counts[body[i : i + 200]] += k
+    body, start = recurring_windows(bodies, times)
+    expected = {(b, i) for b, s in enumerate(bodies) for i in range(len(s) - 199) if counts[s[i : i + 200]] >= 2}
+    assert set(zip(body.tolist(), start.tolist())) == expected and len(body) == len(expected)
