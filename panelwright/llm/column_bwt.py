@@ -68,9 +68,9 @@ class Bytes:
         self.grams = run_hashes(_TABLE[raw], gram)
         self.width = length - gram + 1
         self.least = sliding(self.grams, self.width)
-        self.doc = np.repeat(np.arange(len(texts)), self.ends - self.begins)
-        m = len(self.least)
-        self.whole = np.arange(m) + length < self.ends[self.doc[:m]]  # the filler byte is not the text's
+        size = self.ends - self.begins
+        held = np.maximum(size - length, 0)  # windows of a text; the filler byte is not the text's, so none touch the next one's
+        self.whole = np.repeat(np.tile([True, False], len(texts)), np.stack([held, size - held], 1).ravel())[: len(self.least)]
 
     def anchors(self) -> np.ndarray:
         """Hashes at the places that are least in some whole window."""
@@ -87,7 +87,8 @@ class Bytes:
         at = np.flatnonzero(self.whole)
         if not len(at):
             return at, at
-        new = np.r_[True, (np.diff(at) != 1) | (self.least[at[1:]] != self.least[at[:-1]]) | (self.doc[at[1:]] != self.doc[at[:-1]])]
+        value = self.least[at]
+        new = np.r_[True, (np.diff(at) != 1) | (np.diff(value) != 0)]
         heads = np.flatnonzero(new)
         run = np.arange(len(at)) - np.repeat(heads, np.diff(np.r_[heads, len(at)]))
         heads = np.flatnonzero(new | (run % most == 0))
