@@ -24,7 +24,7 @@ from panelwright.functions import (
 )
 from panelwright.plans import loads, questions, tidy
 from panelwright.plans.star_panel import StarPanel, cents, from_cents, name_id
-from panelwright.session import folder_exists, shared_folder
+from panelwright.session import files_under, shared_folder
 from panelwright.schema import TABLES, TableSpec
 from panelwright.sinks import PanelStore, write_ordered_csv, write_result_csv
 from panelwright.sinks.store import RepeatedKey
@@ -247,15 +247,16 @@ def _load(panel: StarPanel) -> PanelStore:
     return store
 
 
-_LOADED: dict[tuple[object, ...], PanelStore] = {}
+_LOADED: dict[tuple[object, ...], tuple[PanelStore, list[tuple[str, int, int]]]] = {}
 
 
 def _loaded(panel: StarPanel) -> PanelStore:
-    """Loaded tables that the stored questions share, as long as the files behind them and the store are the same."""
+    """Loaded tables that the stored questions share, as long as the files behind them and all files of the store are the same."""
     state = (panel.spark.sparkContext.applicationId, panel.folder, *panel.files())
-    store = _LOADED.get(state)
-    if store is None or not folder_exists(panel.spark, store.path("Country")):
-        store = _LOADED[state] = _load(panel)
+    store, files = _LOADED.get(state, (None, []))
+    if store is None or files_under(panel.spark, store.root) != files:
+        store = _load(panel)
+        _LOADED[state] = store, files_under(panel.spark, store.root)
     return store
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.numeric import ratio
 from panelwright.operators.keys import dense_keys
-from panelwright.session import shared_folder
+from panelwright.session import files_under, shared_folder
 
 # Nations that do not report a figure, and the renewable segments.
 NO_TOTAL = [3]
@@ -104,16 +104,7 @@ class StarPanel(Mapping[str, DataFrame]):
 
     def files(self) -> list[tuple[str, int, int]]:
         """Path, length and time of every file behind the star tables: changes when their rows do."""
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        found = []
-        for table in STAR_SCHEMAS:
-            place = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{table}.parquet")
-            fs = place.getFileSystem(conf)
-            listed = fs.listFiles(place, True) if fs.exists(place) else None
-            while listed is not None and listed.hasNext():
-                f = listed.next()
-                found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
-        return sorted(found)
+        return sorted(f for table in STAR_SCHEMAS for f in files_under(self.spark, f"{self.folder}/{table}.parquet"))
 
     # ------------------------------------------------------------ shared steps
 

@@ -51,9 +51,15 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/panelwright-{uuid.uuid4().hex}"
 
 
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+def files_under(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Path, length and time of every file of a folder, or of the file itself; none if there is nothing."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, listed = [], fs.listFiles(place, True) if fs.exists(place) else None
+    while listed is not None and listed.hasNext():
+        f = listed.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(found)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

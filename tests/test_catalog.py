@@ -8,9 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_file
+from panelwright.catalog import queries
 from panelwright.catalog.oracles import all_oracles
 from panelwright.catalog.queries import _wide_lines, all_queries
 from panelwright.plans.star_panel import StarPanel
+from panelwright.sinks import PanelStore
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = all_queries(), all_oracles()
@@ -120,6 +122,28 @@ def test_stored_questions_follow_their_files(spark, tmp_path):
     assert panel.files() != before
 
 
+@pytest.mark.parametrize("lost", ["sector_country", "development/Ano=2003"])
+def test_stored_questions_load_again_what_is_gone(spark, tmp_path, monkeypatch, lost):
+    """Tables that were emptied from outside, all but some, are not read on."""
+    made = []
+
+    def load(panel):
+        store = PanelStore(spark, str(tmp_path / f"store{len(made)}"))
+        store.create()
+        store.append("Development", spark.sql("SELECT id + 1 AS Country_ID, 2003 AS Ano, 5 AS IDH FROM range(3)"))
+        made.append(store)
+        return store
+
+    monkeypatch.setattr(queries, "_load", load)
+    monkeypatch.setattr(queries, "_LOADED", {})
+    panel = StarPanel(spark, str(tmp_path))
+    assert queries._loaded(panel) is queries._loaded(panel) is made[0]
+    shutil.rmtree(tmp_path / "store0" / lost)
+    again = queries._loaded(panel)
+    assert again is queries._loaded(panel) is made[1]
+    assert again.read("Development").count() == 3 and again.read("Sector_Country").count() == 0
+
+
 @pytest.mark.parametrize("name", CAPPED)
 def test_later_years_more_nations_and_segments_lose_no_row(spark, larger, name):
     compare(QUERIES[name](spark, larger), views(larger).execute(ORACLES[name]), False)
