@@ -24,7 +24,8 @@ strings never cross documents and are judged on the input.
    memory. Neighbours with a common prefix of LENGTH / SYMBOL symbols are equal windows; a
    class that stands for two places or more recurs. So does a pair of hashes counted twice.
    Before that, segments are cut down to the parts whose words all stand for two places or more,
-   as no other part can hold a window that recurs: most segments only share their anchor.
+   as no other part can hold a window that recurs: most segments only share their anchor. The words
+   are numbered there, by order of their hashes, and a phase too short for a window is no string.
 4. Shards get back which windows of their segments recur, and remove what they cover.
 
 Nothing is capped. Equal segments count once with a weight, so large groups of copies do not
@@ -84,15 +85,14 @@ class Bytes:
 
     def segments(self, most: int) -> tuple[np.ndarray, np.ndarray]:
         """First and one past the last window of each run with one anchor value."""
-        at = np.flatnonzero(self.whole)
-        if not len(at):
-            return at, at
-        value = self.least[at]
-        new = np.r_[True, (np.diff(at) != 1) | (np.diff(value) != 0)]
-        heads = np.flatnonzero(new)
-        run = np.arange(len(at)) - np.repeat(heads, np.diff(np.r_[heads, len(at)]))
-        heads = np.flatnonzero(new | (run % most == 0))
-        return at[heads], at[np.r_[heads[1:], len(at)] - 1] + 1
+        inside, new = self.whole, self.least[1:] != self.least[:-1]
+        begins, ends = inside.copy(), inside.copy()
+        begins[1:] &= new | ~inside[:-1]
+        ends[:-1] &= new | ~inside[1:]
+        low, high = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        pieces = -(-(high - low) // most)
+        first = np.repeat(low, pieces) + most * _windows(np.zeros_like(pieces), pieces)
+        return first, np.minimum(first + most, np.repeat(high, pieces))
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray, base: int = _ODD) -> np.ndarray:
         return span_hashes(_TABLE[np.frombuffer(self.data, np.uint8)], starts, ends, base)
@@ -225,44 +225,75 @@ def _words(raw: np.ndarray, symbol: int) -> np.ndarray:
     return wide.view(">u8").ravel().astype(np.uint64)
 
 
-def collection(bodies: list[bytes], length: int = LENGTH, symbol: int = SYMBOL) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _ordered(values: np.ndarray) -> np.ndarray:
+    """Places of the values in ascending order.
+
+    Their upper bits are sorted with the place in the lower ones, as a sort of numbers takes a sixth of one of places;
+    values that agree in the upper bits only, mostly none, are put in order after that.
+    """
+    bits = np.uint64(len(values).bit_length())
+    key = values >> bits << bits
+    key |= np.arange(len(values), dtype=np.uint64)
+    key.sort()
+    order = (key & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+    found = values[order]
+    if (found[1:] < found[:-1]).any():
+        upper = found >> bits
+        odd = (upper[1:] == upper[:-1]) & (found[1:] != found[:-1])
+        on = np.flatnonzero(np.isin(upper, upper[1:][odd]))
+        order[on] = order[on[np.argsort(found[on], kind="stable")]]
+    return order
+
+
+def _ranks(values: np.ndarray) -> np.ndarray:
+    """Number of each value among the different ones, in ascending order."""
+    order = _ordered(values)
+    found = values[order]
+    out = np.empty(len(values), np.int32)
+    out[order] = np.cumsum(np.r_[False, found[1:] != found[:-1]][: len(values)], dtype=np.int32)
+    return out
+
+
+def collection(bodies: list[bytes], length: int = LENGTH, symbol: int = SYMBOL, *, ranks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted order of the strings' suffixes of at least ``length`` bytes, built column by column.
 
     Returns for each such suffix, in order: the body it lies in, where in it it begins, and how
     many symbols it shares with the suffix before (no more than length / symbol are counted).
+    ``ranks``: the number of the word at each byte of the bodies laid end to end, if it is known.
     """
     full = length // symbol
     size = np.array([len(b) for b in bodies], np.int64)
     starts = np.r_[0, np.cumsum(size)[:-1]]
-    raw = np.frombuffer(b"".join(bodies) + bytes(symbol), np.uint8)
-    # one string for each body and phase; symbols are ranks of the words that occur
-    body = np.repeat(np.arange(len(bodies)), symbol)
-    phase = np.tile(np.arange(symbol), len(bodies))
+    if ranks is None:
+        ranks = _ranks(_words(np.frombuffer(b"".join(bodies) + bytes(symbol), np.uint8), symbol))
+    # one string for each body and phase, but those too short to hold a window; symbols are ranks of the words that occur
+    phases = np.clip(size - full * symbol + 1, 0, symbol)
+    body = np.repeat(np.arange(len(bodies)), phases)
+    phase = np.arange(len(body)) - np.repeat(np.cumsum(phases) - phases, phases)
     count = (size[body] - phase) // symbol
     n = len(body)
-    rows = np.arange(n, dtype=np.int32)
     base = starts[body] + phase
-    _, ranks = np.unique(_words(raw, symbol), return_inverse=True)
-    ranks = ranks.astype(np.int32)
 
-    # the list so far: first symbol, place of the tail, common prefix, string, symbols
+    # the list so far: first symbol, place of the tail, common prefix
     first = np.full(n, -1, np.int32)
-    tail = rows.copy()
+    tail = np.arange(n, dtype=np.int32)
     shared = np.zeros(n, np.uint8)
-    owner, symbols = rows.copy(), np.zeros(n, np.uint8 if symbol * 255 >= max(size, default=0) else np.int32)
-    place = rows.copy()  # of each string's longest suffix
+    place = tail.copy()  # of each string's longest suffix
     for k in range(1, int(count.max(initial=0)) + 1):
         on = np.flatnonzero(count >= k)
-        c = ranks[base[on] + (count[on] - k) * symbol]
-        pos = place[on]
-        key = (c.astype(np.int64) << 32) | pos  # all different, as each string has its own place
-        order = np.argsort(key)
-        on, c, pos = on[order], c[order], pos[order]
         total = len(first)
+        # all different, as each string has its own place, which tells the string
+        key = (ranks[base[on] + (count[on] - k) * symbol].astype(np.int64) << 32) | place[on]
+        string = np.empty(total, np.int32)
+        string[place[on]] = on
+        key.sort()
+        c, pos = (key >> 32).astype(np.int32), key.astype(np.int32)
+        on = string[pos]
         old_key = (first.astype(np.int64) << 32) | tail
-        at = np.searchsorted(old_key, key[order])
+        at = np.searchsorted(old_key, key)
         new_place = (at + np.arange(len(on))).astype(np.int32)
-        moved = (np.arange(total) + np.cumsum(np.bincount(at, minlength=total + 1))[:total]).astype(np.int32)
+        moved = np.arange(total, dtype=np.int32)
+        moved += np.cumsum(np.bincount(at, minlength=total + 1)[:total], dtype=np.int32)
 
         def merged(old: np.ndarray, new: np.ndarray | int) -> np.ndarray:
             out = np.empty(total + len(on), old.dtype)
@@ -287,25 +318,32 @@ def collection(bodies: list[bytes], length: int = LENGTH, symbol: int = SYMBOL)
             shared[check[same]] = np.minimum(least.astype(np.int64) + 1, full)
         shared[0] = 0
         tail = moved[tail_before]
-        owner, symbols = merged(owner, on), merged(symbols, k)
-        place[on] = new_place
         others = np.flatnonzero(count < k)
+        place[on] = new_place
         if len(others):
             place[others] = moved[place[others]]
-    long = np.flatnonzero(symbols >= full)
+    # from each string's longest suffix along the tails, as far as they hold a window
+    owner, symbols = np.empty(len(first), np.int32), np.zeros(len(first), np.int32)
+    on, left = np.arange(n), count
+    while len(on):
+        owner[place], symbols[place] = on, left
+        more = left > full
+        on, left, place = on[more], left[more] - 1, tail[place[more]]
+    long = np.flatnonzero(symbols)
     # what lies between two equal windows is equal to both, so dropping short suffixes loses nothing
-    return body[owner[long]], phase[owner[long]] + (count[owner[long]] - symbols[long]) * symbol, shared[long]
+    own = owner[long]
+    return body[own], phase[own] + (count[own] - symbols[long]) * symbol, shared[long]
 
 
 def shared_parts(
     bodies: list[bytes], times: np.ndarray, length: int = LENGTH, symbol: int = SYMBOL
-) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The parts of the strings in which each word of ``symbol`` bytes may stand for two places or more.
 
     A window that recurs holds no other word, so it lies inside such a part, and nothing is lost with what
-    lies between. Words are counted in a table a few times their number first, where some share a place, and
-    what is left of them one by one. Returns the different parts, and for each place of one its number,
-    the string it lies in and where in it it begins.
+    lies between. Words are numbered once; what the first cut leaves is counted again, so that equal parts end
+    alike. Returns the different parts, for each place of one its number, the string it lies in and where in it
+    it begins, and the number of the word at each byte of the parts laid end to end.
     """
     size = np.array([len(b) for b in bodies], np.int64)
     starts = np.r_[0, np.cumsum(size)[:-1]]
@@ -313,38 +351,28 @@ def shared_parts(
     raw = np.frombuffer(joined + bytes(symbol), np.uint8)
     none = np.zeros(0, np.int64)
     if not len(joined):
-        return [], none, none, none
-    bits = np.uint64(max(8, int(4 * len(joined)).bit_length()))
-    words = _words(raw, symbol)
-    word = ((words if symbol > 8 else mix(words)) >> (np.uint64(64) - bits)).view(np.int64)  # long words are hashes
-    held = np.maximum(size - symbol + 1, 0)  # words of a string
-    whole = np.repeat(np.tile([True, False], len(bodies)), np.stack([held, size - held], 1).ravel())
+        return [], none, none, none, none
+    ranks = _ranks(_words(raw, symbol))
     often = np.repeat(times >= 2, size)
-
-    def runs(recurs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        edge = np.diff(np.r_[0, recurs.astype(np.int8), 0])
+    left = _windows(starts, starts + np.maximum(size - symbol + 1, 0))  # words of a string
+    for _ in range(2):
+        # a word stands for two places or more if it is there twice, or in a string that does
+        word = ranks[left]
+        twice = np.bincount(word) >= 2
+        twice[word[often[left]]] = True
+        recurs = np.zeros(len(joined) + 2, np.int8)
+        recurs[left + 1] = twice[word]
+        edge = np.diff(recurs)
         low, high = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         on = high - low > length - symbol
-        return low[on], high[on]
-
-    # a word stands for two places or more if it is there twice, or in a string that does
-    twice = np.bincount(word[whole], minlength=1 << int(bits)) >= 2
-    twice[word[whole & often]] = True
-    low, high = runs(whole & twice[word])
-    # now by the words themselves, so that equal parts end alike
-    left = _windows(low, high)
-    recurs = np.zeros(len(joined), bool)
-    if len(left):
-        _, rank = np.unique(words[left], return_inverse=True)
-        twice = np.bincount(rank) >= 2
-        twice[rank[often[left]]] = True
-        recurs[left] = twice[rank]
-    low, high = runs(recurs)
+        low, high = low[on], high[on]
+        left = _windows(low, high)
     owner = np.searchsorted(starts, low, "right") - 1
     high = high + symbol - 1
     number: dict[bytes, int] = {}
     part = np.array([number.setdefault(joined[i:j], len(number)) for i, j in zip(low.tolist(), high.tolist())], np.int64)
-    return list(number), part, owner, low - starts[owner]
+    head = np.unique(part, return_index=True)[1]
+    return list(number), part, owner, low - starts[owner], ranks[_windows(low[head], high[head])]
 
 
 def recurring_windows(bodies: list[bytes], times: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -352,8 +380,8 @@ def recurring_windows(bodies: list[bytes], times: np.ndarray, length: int = LENG
 
     Columns are built over the shared parts alone, equal ones once with the places that they stand for.
     """
-    parts, part, owner, offset = shared_parts(bodies, times, length)
-    own, start, shared = collection(parts, length)
+    parts, part, owner, offset, ranks = shared_parts(bodies, times, length, SYMBOL)
+    own, start, shared = collection(parts, length, SYMBOL, ranks=ranks)
     if not len(own):
         return own, start
     stands = np.bincount(part, weights=times[owner], minlength=len(parts)).astype(np.int64)
@@ -363,9 +391,9 @@ def recurring_windows(bodies: list[bytes], times: np.ndarray, length: int = LENG
     own, start = own[keep], start[keep]
     # from each part to its places
     by_part = np.argsort(part, kind="stable")
-    first = np.searchsorted(part[by_part], own)
-    n = np.searchsorted(part[by_part], own, "right") - first
-    at = by_part[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())]
+    places = np.bincount(part, minlength=len(parts))
+    n = places[own]
+    at = by_part[_windows((first := (np.cumsum(places) - places)[own]), first + n)]
     return owner[at], np.repeat(start, n) + offset[at]
 
 
@@ -402,8 +430,8 @@ def _judge(length: int):
                 held.setdefault(shard, set()).add(i)
         bodies = list(number)
         body, start = recurring_windows(bodies, np.array(times, np.int64), length)
-        order = np.lexsort((start, body))
-        body, start = body[order], start[order]
+        key = np.sort(body << 32 | start)
+        body, start = key >> 32, key & ((1 << 32) - 1)
         heads = np.flatnonzero(np.r_[True, (body[1:] != body[:-1]) | (start[1:] != start[:-1] + 1)]) if len(body) else body
         of, low = body[heads], start[heads]
         high = start[np.r_[heads[1:], len(body)] - 1] + length if len(body) else low
@@ -411,7 +439,8 @@ def _judge(length: int):
         prints, none = _recurring_prints(table), np.zeros(0, np.int64)
         shards, columns = sorted({*held, *prints}), ([], [], [], [], [])
         for shard in shards:
-            on = np.isin(of, np.array(sorted(held.get(shard, ())), np.int64))
+            on = np.array(sorted(held.get(shard, ())), np.int64)
+            on = _windows(np.searchsorted(of, on), np.searchsorted(of, on, "right"))
             for column, x in zip(columns, (ids[of[on]], low[on], high[on], *prints.get(shard, (none, none)))):
                 column.append(x)
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())

@@ -393,3 +393,44 @@ def test_hashes_of_runs_and_windows_of_short_empty_and_repeated_strings():
     body, start = recurring_windows(bodies, times)
     expected = {(b, i) for b, s in enumerate(bodies) for i in range(len(s) - 199) if counts[s[i : i + 200]] >= 2}
     assert set(zip(body.tolist(), start.tolist())) == expected and len(body) == len(expected)
+
+
+def test_words_that_agree_in_their_upper_bits_keep_their_order():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 2, 7, 3000):
+        far = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+        near = (far[rng.integers(0, max(n, 1), n)] if n else far) ^ rng.integers(0, 4, n, dtype=np.uint64)  # lower bits differ alone
+        for values in (far, near, far >> np.uint64(40)):
+            assert (values[column_bwt._ordered(values)] == np.sort(values)).all()
+            assert (column_bwt._ranks(values) == np.unique(values, return_inverse=True)[1]).all()
+
+
+def test_no_string_is_laid_out_for_a_phase_that_holds_no_window():
+    """A body of 200 bytes has one window, so one of 40 phases; words are numbered once for the cut and the columns."""
+    rng = np.random.default_rng(6)
+    bodies = [rng.integers(97, 123, 200, dtype=np.uint8).tobytes() for _ in range(50)]
+    asked = []
+
+    class Spied(np.ndarray):
+        def __getitem__(self, at):
+            asked.append(np.size(at))
+            return np.asarray(super().__getitem__(at))
+
+    ranks = column_bwt._ranks(column_bwt._words(np.frombuffer(b"".join(bodies) + bytes(40), np.uint8), 40)).view(Spied)
+    body, start, _ = column_bwt.collection(bodies, ranks=ranks)
+    assert sorted(body.tolist()) == list(range(50)) and not start.any()
+    assert asked == [50] * 5
+
+
+def test_segments_are_the_runs_of_one_anchor():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(97, 99, k, dtype=np.uint8).tobytes() for k in (0, 199, 200, 201, 900, 0, 3000)] + [b"a" * 700]
+    for most in (1, 7, 128):
+        part, want = column_bwt.Bytes(texts, 200, 32), []
+        for begin, end in zip(part.begins.tolist(), part.ends.tolist()):
+            for w in range(begin, end - 200):
+                if want and want[-1][1] == w > begin and part.least[w] == part.least[w - 1] and w - want[-1][0] < most:
+                    want[-1][1] += 1
+                else:
+                    want.append([w, w + 1])
+        assert np.stack(part.segments(most), 1).tolist() == want
